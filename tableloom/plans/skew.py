@@ -66,3 +66,51 @@ def skew_join(
         .drop("_hot")
     )
     return salted_left.join(salted_right, on + ["_salt"], how).drop("_salt")
+
+
+def grid_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], share: float = 0.01, salts: int = 8
+) -> DataFrame:
+    """Inner equi-join that spreads keys hot on either side, or on both.
+
+    A hot key becomes a grid of groups: left rows choose a line and are repeated
+    along it when the key is hot on the right, right rows the other way round.
+    Every pair of matching rows meets in exactly one cell.
+    """
+    on = list(on)
+    flags = (
+        hot_keys(left, on, share).withColumn("_hl", F.lit(True)).withColumn("_hr", F.lit(False))
+        .unionByName(hot_keys(right, on, share).withColumn("_hl", F.lit(False)).withColumn("_hr", F.lit(True)))
+        .groupBy(*on).agg(F.max("_hl").alias("_hl"), F.max("_hr").alias("_hr"))
+    )
+    flags = F.broadcast(flags)  # fewer than 2 / share rows
+    zero, last = F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")
+
+    def place(df: DataFrame, own: str, other: str, own_salt: str, other_salt: str) -> DataFrame:
+        chosen = F.when(F.col(own), F.pmod(F.xxhash64(*df.columns), F.lit(salts))).otherwise(zero)
+        copies = F.when(F.col(other), F.sequence(zero, last)).otherwise(F.array(zero))
+        placed = df.join(flags, on, "left").withColumn(own_salt, chosen)
+        return placed.withColumn(other_salt, F.explode(copies)).drop("_hl", "_hr")
+
+    placed_left = place(left, "_hl", "_hr", "_sl", "_sr")
+    placed_right = place(right, "_hr", "_hl", "_sr", "_sl")
+    return placed_left.join(placed_right, on + ["_sl", "_sr"]).drop("_sl", "_sr")
+
+
+def outer_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Left, right or full equi-join for keys that may be hot on either side.
+
+    Matching pairs come from :func:`grid_join`; rows without a partner are found
+    against the distinct keys of the other side.
+    """
+    if how not in ("left", "right", "full"):
+        raise ValueError(how)
+    on = list(on)
+    result = grid_join(left, right, on)
+    if how in ("left", "full"):
+        alone = left.join(right.select(*on).distinct(), on, "left_anti")
+        result = result.unionByName(alone, allowMissingColumns=True)
+    if how in ("right", "full"):
+        alone = right.join(left.select(*on).distinct(), on, "left_anti")
+        result = result.unionByName(alone, allowMissingColumns=True)
+    return result
