@@ -39,4 +39,4 @@ def load_all() -> None:
         import_module(f"tableloom.registry.{module}")
 
 
-MODULES = ["bayes", "flow"]
+MODULES = ["bayes", "flow", "scalars", "logs"]
