@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tableloom.functions import text as tx
 from tableloom.plans.ordered import OrderedRows
 from tableloom.plans.scratch import materialize
-from tableloom.plans.skew import skew_join
+from tableloom.plans.skew import join_small, skew_join
 
 HALF_LOG_2PI = 0.9189385332046727
 
@@ -99,7 +99,7 @@ def train_text(counts: DataFrame, sizes: DataFrame, ddof: int = 0, feature: str
     )
     n, s1, s2 = F.col("n"), F.col("s1"), F.col("s2")
     variance = F.try_divide((n * s2 - s1 * s1).cast("double"), (n * (n - ddof)).cast("double"))
-    return sums.join(sizes, "label").select(
+    return join_small(sums, sizes, ["label"]).select(
         "label", feature, (s1 / n).alias("mean"), F.sqrt(variance).alias("sd")
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tableloom.functions.draws import draw, draw_below
 from tableloom.plans.ordered import OrderedRows
+from tableloom.plans.skew import join_small
 
 
 def shuffled(df: DataFrame, id_col: str, seed: int, keys: Sequence[str] = (), name: str = "rn") -> DataFrame:
@@ -40,7 +41,7 @@ def split_exact_by(
     ).numbered("_rn")
     sizes = df.groupBy(by).agg(F.count("*").alias("_n"))
     return (
-        ranked.join(sizes, by)
+        join_small(ranked, sizes, [by])
         .withColumn(name, F.col("_rn") <= F.floor(F.col("_n") * F.lit(ratio)))
         .drop("_rn", "_n", "_draw")
     )
@@ -78,7 +79,7 @@ def pick_uniform(rows: DataFrame, slots: DataFrame, sizes: DataFrame, key: str,
     ``rows`` holds ``key, rn`` (1-based), ``slots`` holds ``key, slot`` and
     ``sizes`` holds ``key, n``.
     """
-    drawn = slots.join(sizes, key).withColumn(
+    drawn = join_small(slots, sizes, [key]).withColumn(
         "rn", draw_below(F.col("n"), seed, "pick", F.col(key), F.col("slot")) + 1
     )
     return drawn.drop("n").join(rows, [key, "rn"])

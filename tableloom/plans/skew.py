@@ -18,10 +18,10 @@ def row_count_up_to(df: DataFrame, bound: int) -> int:
 def join_small(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", max_rows: int = SMALL_ROWS
 ) -> DataFrame:
-    """Broadcast ``right`` when it has at most ``max_rows`` rows, else join by shuffle."""
+    """Broadcast ``right`` when it has at most ``max_rows`` rows, else spread hot keys of ``left``."""
     if row_count_up_to(right, max_rows) <= max_rows:
         return left.join(F.broadcast(right), list(on), how)
-    return left.join(right, list(on), how)
+    return skew_join(left, right, on, how)
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], share: float) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tableloom.functions import scalars as sc
 from tableloom.functions import text as tx
 from tableloom.operators import bayes as nb
+from tableloom.plans.skew import join_small
 from tableloom.registry import query
 from tableloom.registry.bayes import ISOLATE, sql_text
 
@@ -159,7 +160,7 @@ def f16(t):
         F.avg("l_quantity").alias("mean"), F.stddev_samp("l_quantity").alias("sd")
     )
     density = nb.guarded_density(F.col("l_quantity"), F.col("mean"), F.col("sd"))
-    return t.lineitem.join(moments, "l_returnflag").select(
+    return join_small(t.lineitem, moments, ["l_returnflag"]).select(
         "l_orderkey", "l_linenumber", F.round(density, 9).alias("density")
     )
 
