@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 
 from tableloom.functions.draws import draw_normal, draw_unit
 from tableloom.plans.scratch import materialize
-from tableloom.plans.skew import join_small
+from tableloom.plans.skew import join_small, skew_join
 
 # Largest matrix side that may be solved on the driver.
 SOLVE_LIMIT = 4096
+# Most numbers of a matrix that may be broadcast.
+CARRY_LIMIT = 4_000_000
 
 
 def index(n: int) -> str:
@@ -132,15 +134,18 @@ def as_long(factor: DataFrame) -> DataFrame:
 def mode_dot(x: Tensor, matrix: DataFrame, mode: int, rows: int) -> Tensor:
     """n-mode product with ``matrix (d, i, value)`` of ``rows`` rows.
 
-    Each index of the mode meets its column of the matrix as one array, so the
-    join adds no rows; products are summed on the map side first.
+    Up to ``SOLVE_LIMIT`` rows a column of the matrix meets its cells as one
+    array, so the join itself adds no rows; a taller matrix is joined row by row
+    with the hot indices spread.  Products are summed on the map side first.
     """
-    columns = matrix.groupBy("i").agg(F.collect_list(F.struct("d", F.col("value").alias("m"))).alias("_col"))
-    met = join_small(
-        x.cells.withColumn("i", F.col(index(mode)).cast("bigint")),
-        columns.withColumn("i", F.col("i").cast("bigint")), ["i"],
-    )
-    spread = met.select(*x.others(mode), "value", F.explode("_col").alias("_e"))
+    left = x.cells.withColumn("i", F.col(index(mode)).cast("bigint"))
+    entries = matrix.select(F.col("i").cast("bigint"), F.struct(F.col("d"), F.col("value").alias("m")).alias("_e"))
+    if rows <= SOLVE_LIMIT:
+        columns = entries.groupBy("i").agg(F.collect_list("_e").alias("_col"))
+        met = join_small(left, columns, ["i"], max_rows=CARRY_LIMIT // rows)
+        spread = met.select(*x.others(mode), "value", F.explode("_col").alias("_e"))
+    else:
+        spread = skew_join(left, entries, ["i"])
     cells = spread.groupBy(*x.others(mode), F.col("_e.d").cast("bigint").alias(index(mode))).agg(
         F.sum(F.col("value") * F.col("_e.m")).alias("value")
     )
@@ -254,7 +259,13 @@ def gram(factor: DataFrame, size: int, column: str = "f") -> np.ndarray:
 
 
 def times(factor: DataFrame, matrix: np.ndarray, column: str = "f") -> DataFrame:
-    """Multiply every array by a small matrix."""
+    """Multiply every array by a small matrix; tiny ones as a plain expression."""
+    if matrix.size <= 256:
+        f = F.col(column)
+        sums = [
+            reduce(lambda a, b: a + b, [f[i] * F.lit(float(v)) for i, v in enumerate(side)]) for side in matrix.T
+        ]
+        return factor.withColumn(column, F.array(*sums))
 
     @F.pandas_udf("array<double>")
     def multiply(f: pd.Series) -> pd.Series:
@@ -263,17 +274,20 @@ def times(factor: DataFrame, matrix: np.ndarray, column: str = "f") -> DataFrame
     return factor.withColumn(column, multiply(F.col(column)))
 
 
-def _with_factors(cells: DataFrame, factors: dict[int, DataFrame]) -> DataFrame:
-    """Add ``f<n>``, the factor row of index n, to every cell; cells without one drop out."""
+def _with_factors(cells: DataFrame, factors: dict[int, DataFrame], width: int) -> DataFrame:
+    """Add ``f<n>``, the factor row of index n, to every cell; cells without one drop out.
+
+    A factor is broadcast when its numbers (rows times ``width``) are few.
+    """
     for n, factor in factors.items():
         side = factor.select(F.col("row").cast("bigint").alias(index(n)), F.col("f").alias(f"f{n}"))
-        cells = join_small(cells, side, [index(n)])
+        cells = join_small(cells, side, [index(n)], max_rows=CARRY_LIMIT // width)
     return cells
 
 
 def kruskal_at(cells: DataFrame, factors: Sequence[DataFrame], ranks: int) -> DataFrame:
     """Value of the CP form at the given cells: work grows with the cells asked for."""
-    met = _with_factors(cells, dict(enumerate(factors)))
+    met = _with_factors(cells, dict(enumerate(factors)), ranks)
     terms = [
         reduce(lambda a, b: a * b, [F.col(f"f{n}")[r] for n in range(len(factors))]) for r in range(ranks)
     ]
@@ -286,19 +300,42 @@ def kruskal_to_tensor(factors: Sequence[DataFrame], rank: int, shape: Sequence[i
     return Tensor(kruskal_at(cells, factors, rank), tuple(shape))
 
 
+def small_array(x: Tensor) -> np.ndarray:
+    """A rank-sized tensor as an array on the driver."""
+    if prod(x.shape) > CARRY_LIMIT:
+        raise ValueError(f"a tensor of shape {x.shape} is too large for the driver")
+    out = np.zeros(x.shape)
+    for row in x.cells.collect():
+        out[tuple(int(row[c]) for c in x.indices)] = row["value"]
+    return out
+
+
+def tucker_at(cells: DataFrame, core: Tensor, factors: Sequence[DataFrame]) -> DataFrame:
+    """Value of the Tucker form at the given cells; the core has the size of the ranks."""
+    values = small_array(core)
+    names = [f"f{n}" for n in range(core.order)]
+
+    @F.pandas_udf("double")
+    def contract(*rows: pd.Series) -> pd.Series:
+        out = np.tensordot(_stack(rows[0]), values, axes=(1, 0))
+        for f in rows[1:]:
+            out = np.einsum("na...,na->n...", out, _stack(f))
+        return pd.Series(out)
+
+    met = _with_factors(cells, dict(enumerate(factors)), max(core.shape))
+    return met.withColumn("value", contract(*names)).drop(*names)
+
+
 def tucker_to_tensor(core: Tensor, factors: Sequence[DataFrame], shape: Sequence[int]) -> Tensor:
-    """The full tensor of a Tucker form: one n-mode product per factor."""
-    x = core
-    for n, factor in enumerate(factors):
-        matrix = as_long(factor).select(F.col("row").alias("d"), F.col("r").alias("i"), "value")
-        x = mode_dot(x, matrix, n, shape[n])
-    return x
+    """The full tensor of a Tucker form."""
+    cells = dense_cells(factors[0].sparkSession, shape)
+    return Tensor(tucker_at(cells, core, factors), tuple(shape))
 
 
 def mttkrp(x: Tensor, factors: Sequence[DataFrame], mode: int, rank: int) -> DataFrame:
     """Matricised tensor times Khatri-Rao product: ``(row, f)`` with one sum per rank."""
     rest = {n: f for n, f in enumerate(factors) if n != mode}
-    met = _with_factors(x.cells, rest)
+    met = _with_factors(x.cells, rest, rank)
     sums = [
         F.sum(reduce(lambda a, b: a * b, [F.col(f"f{n}")[r] for n in rest], F.col("value"))).alias(f"s{r}")
         for r in range(rank)
@@ -332,10 +369,11 @@ def parafac(x: Tensor, rank: int, sweeps: int = 100, tol: float = 1e-8, seed: in
             target = materialize(mttkrp(x, factors, mode, rank))
             others = reduce(lambda a, b: a * b, [g for n, g in enumerate(grams) if n != mode])
             solve = np.linalg.pinv(others)
-            factors[mode] = materialize(times(target, solve))
-            grams[mode] = gram(factors[mode], rank)
-            # sum of target * factor, as factor = target @ solve
-            crossing = float(np.sum(gram(target, rank) * solve))
+            inner = gram(target, rank)
+            # factor = target @ solve, so its sums follow from those of the target
+            factors[mode] = times(target, solve)
+            grams[mode] = solve.T @ inner @ solve
+            crossing = float(np.sum(inner * solve))
         model = float(np.sum(reduce(lambda a, b: a * b, grams)))
         errors.append(float(np.sqrt(max(size - 2 * crossing + model, 0.0) / size)))
         if len(errors) > 1 and abs(errors[-2] - errors[-1]) < tol:
@@ -349,7 +387,7 @@ def parafac(x: Tensor, rank: int, sweeps: int = 100, tol: float = 1e-8, seed: in
 def _projected(x: Tensor, factors: Sequence[DataFrame], ranks: Sequence[int], mode: int) -> DataFrame:
     """``(row, f)``: the tensor contracted with all factors but one, unfolded by that mode."""
     rest = [n for n in range(x.order) if n != mode]
-    met = _with_factors(x.cells, {n: factors[n] for n in rest})
+    met = _with_factors(x.cells, {n: factors[n] for n in rest}, max(ranks))
     combos = list(product(*[range(ranks[n]) for n in rest]))
     sums = [
         F.sum(reduce(lambda a, b: a * b, [F.col(f"f{n}")[r] for n, r in zip(rest, combo)], F.col("value"))).alias(f"s{k}")
@@ -381,7 +419,7 @@ def tucker(x: Tensor, ranks: Sequence[int], sweeps: int = 50, tol: float = 1e-6,
             inverse = np.where(keep, 1.0 / np.where(keep, sigma, 1.0), 0.0)
             padded = np.zeros((side, ranks[mode]))
             padded[:, : len(top)] = vectors[:, top] * inverse
-            factors[mode] = materialize(times(y, padded))
+            factors[mode] = times(y, padded)
             core = np.zeros((ranks[mode], side))
             core[: len(top)] = (vectors[:, top] * np.where(keep, sigma, 0.0)).T
         errors.append(float(np.sqrt(max(size - float(np.sum(core * core)), 0.0) / size)))
