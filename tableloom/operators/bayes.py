@@ -26,14 +26,21 @@ HALF_LOG_2PI = 0.9189385332046727
 def token_rows(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per token: the columns of ``docs`` without the text, ``pos``, ``token``."""
     keep = [c for c in docs.columns if c != text]
-    return docs.select(*keep, F.posexplode(tx.tokens(F.col(text))).alias("pos", "token"))
+    ready = dict(docs.dtypes)[text].startswith("array")
+    found = F.col(text) if ready else tx.tokens(F.col(text))
+    return docs.select(*keep, F.posexplode(found).alias("pos", "token"))
 
 
 def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(other columns of docs, token, cnt)``, counted on the map side first."""
+    """``(other columns of docs, token, cnt)``, counted on the map side first.
+
+    ``text`` is a text column, or a column of token arrays.
+    """
     keep = [c for c in docs.columns if c != text]
+    ready = dict(docs.dtypes)[text].startswith("array")
+    found = F.col(text) if ready else tx.tokens(F.col(text))
     return (
-        docs.select(*keep, F.explode(tx.tokens(F.col(text))).alias("token"))
+        docs.select(*keep, F.explode(found).alias("token"))
         .groupBy(*keep, "token")
         .agg(F.count("*").alias("cnt"))
     )
@@ -217,7 +224,8 @@ def without_first_word(counts: DataFrame, vocab: DataFrame) -> DataFrame:
 def holdout_text(docs: DataFrame, marked: DataFrame, dense: bool = False, use_prior: bool = False) -> DataFrame:
     """Train on the marked rows, predict the others.
 
-    ``docs``: ``(doc_id, text)``; ``marked``: ``(doc_id, label, is_train)``.
+    ``docs``: ``(doc_id, text)``, or token arrays as ``text``;
+    ``marked``: ``(doc_id, label, is_train)``.
     Gives ``(doc_id, label, predicted)`` of the rows that are not marked.  The
     texts are split into tokens once.
     """

@@ -47,3 +47,8 @@ def release(spark: SparkSession) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(root)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the scratch folder, removed by :func:`release`."""
+    return f"{scratch_root(spark)}/tableloom-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

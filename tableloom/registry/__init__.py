@@ -39,4 +39,4 @@ def load_all() -> None:
         import_module(f"tableloom.registry.{module}")
 
 
-MODULES = ["bayes", "flow", "scalars", "logs", "evolve", "tensor", "web"]
+MODULES = ["bayes", "flow", "scalars", "logs", "evolve", "tensor", "web", "io"]

@@ -291,6 +291,47 @@ def b16_refit(t):
     return numbered_predictions(nb.holdout_text(t.documents, everything), "doc_id")
 
 
+NETWORK = f"""
+fields AS (SELECT page_id AS doc_id, CASE WHEN split_part(url, '/', 4) = 'en' THEN 0 ELSE 1 END AS label,
+           list_concat(string_split(replace(split_part(url, '/', 5), '?', '.'), '.'), list_concat(string_split(split_part(url, '/', 3), '.'),
+                       string_split(split_part(url, '/', 3), '.'))) AS tk FROM pages),
+known AS (SELECT doc_id, label, row_number() OVER (ORDER BY {sql_draw(SEED, "'split'", 'doc_id')}, doc_id)
+          <= floor(count(*) OVER () * {RATIO}) AS is_train FROM fields),
+tok AS (SELECT doc_id, k.label, is_train, unnest(tk) AS token FROM fields JOIN known k USING (doc_id)),
+"""
+
+
+def network_rows(t):
+    host = F.split_part("url", F.lit("/"), F.lit(3))
+    ip = F.replace(F.split_part("url", F.lit("/"), F.lit(5)), F.lit("?"), F.lit("."))
+    return t.pages.select(
+        F.col("page_id").alias("doc_id"),
+        F.when(F.split_part("url", F.lit("/"), F.lit(4)) == "en", 0).otherwise(1).alias("label"),
+        tx.network_tokens(ip, F.concat(F.lit("u@"), host), F.concat(F.lit("<m@"), host, F.lit(">"))).alias("text"),
+    )
+
+
+def network_holdout(t, dense):
+    rows = network_rows(t)
+    split = split_exact(rows.select("doc_id", "label"), "doc_id", RATIO, SEED)
+    return nb.confusion(nb.holdout_text(rows.select("doc_id", "text"), split, dense=dense))
+
+
+@query("b17_sparse_network_pipeline", "WITH " + NETWORK + """
+cnt AS (SELECT doc_id, label, is_train, token, count(*) AS cnt FROM tok GROUP BY ALL),""" + model_sql(0) + """
+SELECT label, predicted, count(*) AS n FROM result GROUP BY 1, 2""")
+def b17_sparse(t):
+    return network_holdout(t, False)
+
+
+@query("b17_dense_network_pipeline", "WITH " + NETWORK + """
+firstword AS (SELECT tk[1] AS w FROM fields ORDER BY doc_id LIMIT 1),
+cnt AS (SELECT doc_id, label, is_train, token, count(*) AS cnt FROM tok WHERE token <> (SELECT w FROM firstword) GROUP BY ALL),""" + model_sql(1) + """
+SELECT label, predicted, count(*) AS n FROM result GROUP BY 1, 2""")
+def b17_dense(t):
+    return network_holdout(t, True)
+
+
 def logpdf_sql(x: str) -> str:
     return f"CASE WHEN sd <> 0 THEN -0.5 * (({x} - mean) / sd) * (({x} - mean) / sd) - ln(sd) - 0.9189385332046727 ELSE 0 END"
 
