@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tableloom.functions import text as tx
 from tableloom.plans.ordered import OrderedRows
+from tableloom.plans.placement import well_spread
 from tableloom.plans.scratch import materialize
 from tableloom.plans.skew import join_small, skew_join
 
@@ -23,39 +24,39 @@ HALF_LOG_2PI = 0.9189385332046727
 # ---- tokens and vocabulary -------------------------------------------------
 
 
+def _token_array(docs: DataFrame, text: str) -> Column:
+    """A column of token arrays as it is, a text column split into tokens."""
+    ready = dict(docs.dtypes)[text].startswith("array")
+    return F.col(text) if ready else tx.tokens(F.col(text))
+
+
 def token_rows(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per token: the columns of ``docs`` without the text, ``pos``, ``token``."""
     keep = [c for c in docs.columns if c != text]
-    ready = dict(docs.dtypes)[text].startswith("array")
-    found = F.col(text) if ready else tx.tokens(F.col(text))
-    return docs.select(*keep, F.posexplode(found).alias("pos", "token"))
+    return well_spread(docs).select(*keep, F.posexplode(_token_array(docs, text)).alias("pos", "token"))
 
 
 def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(other columns of docs, token, cnt)``, counted on the map side first.
+    """``(other columns of docs, token, cnt, first)``, aggregated on the map side first.
 
-    ``text`` is a text column, or a column of token arrays.
+    ``text`` is a text column, or a column of token arrays; ``first`` is the
+    position of the token's first occurrence in its document.
     """
     keep = [c for c in docs.columns if c != text]
-    ready = dict(docs.dtypes)[text].startswith("array")
-    found = F.col(text) if ready else tx.tokens(F.col(text))
-    return (
-        docs.select(*keep, F.explode(found).alias("token"))
-        .groupBy(*keep, "token")
-        .agg(F.count("*").alias("cnt"))
+    return token_rows(docs, text).groupBy(*keep, "token").agg(
+        F.count("*").alias("cnt"), F.min("pos").alias("first")
     )
 
 
-def vocabulary(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(token, cnt, idx)``; ``idx`` counts from 0 in order of first occurrence."""
-    first = (
-        token_rows(docs.select(id_col, text), text)
-        .groupBy("token")
-        .agg(F.count("*").alias("cnt"), F.min(F.struct(id_col, "pos")).alias("_first"))
-        .select("token", "cnt", F.col("_first")[id_col].alias("_d"), F.col("_first.pos").alias("_p"))
-    )
-    rows = OrderedRows(first, (), ["_d", "_p"]).rows
-    return rows.select("token", "cnt", F.col("_g").alias("idx"))
+def vocabulary(counts: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``(token, cnt, idx)``; ``idx`` counts from 0 in order of first occurrence.
+
+    ``counts`` holds ``(id_col, token, cnt, first)`` with an integer id.  Document
+    and position are packed into one number, which keeps the aggregation hashed.
+    """
+    place = F.col(id_col).cast("decimal(20,0)") * F.lit(2**31).cast("decimal(10,0)") + F.col("first").cast("decimal(10,0)")
+    seen = counts.groupBy("token").agg(F.sum("cnt").alias("cnt"), F.min(place).alias("_place"))
+    return OrderedRows(seen, (), ["_place"]).rows.select("token", "cnt", F.col("_g").alias("idx"))
 
 
 def count_vectors(counts: DataFrame, vocab: DataFrame, dense: bool = False) -> DataFrame:
@@ -215,10 +216,9 @@ class TextBayes:
         return best_class(self.scores(counts, docs, doc), doc)
 
 
-def without_first_word(counts: DataFrame, vocab: DataFrame) -> DataFrame:
-    """The dense form's blind spot: drop the vocabulary's word of index 0."""
-    first = vocab.where("idx = 0").select(F.col("token").alias("_first"))
-    return counts.where(~F.col("token").eqNullSafe(first.scalar()))
+def first_word(docs: DataFrame, text: str = "text") -> DataFrame:
+    """One row ``token``: the first token of the document with the smallest id, index 0 of the vocabulary."""
+    return docs.orderBy("doc_id").limit(1).select(_token_array(docs, text)[0].alias("token"))
 
 
 def holdout_text(docs: DataFrame, marked: DataFrame, dense: bool = False, use_prior: bool = False) -> DataFrame:
@@ -233,7 +233,8 @@ def holdout_text(docs: DataFrame, marked: DataFrame, dense: bool = False, use_pr
     counts = materialize(token_counts(labelled))
     known = labelled.select("doc_id", "label", "is_train")
     if dense:
-        counts = without_first_word(counts, vocabulary(labelled))
+        # the dense form never counts the word of index 0
+        counts = counts.where(F.col("token") != first_word(labelled).scalar())
     sizes = known.where("is_train").groupBy("label").agg(F.count("*").alias("n"))
     fitted = TextBayes(dense, use_prior).fit(counts.where("is_train"), sizes)
     rest = known.where("not is_train").select("doc_id", "label")

@@ -25,7 +25,7 @@ from tableloom.functions import text as tx
 from tableloom.functions.draws import draw, draw_below, draw_unit
 from tableloom.plans.ordered import OrderedRows, numbered
 from tableloom.plans.scratch import materialize
-from tableloom.plans.skew import join_small, skew_join
+from tableloom.plans.skew import join_small
 
 KEY = ("deme", "ind_id")
 
@@ -198,7 +198,7 @@ def tournament(population: DataFrame, rounds: int, seed: int, generation: int) -
     winners = met.groupBy("deme", "slot").agg(
         F.min(F.struct((-F.col("fitness")).alias("f"), F.col("ind_id").alias("i"))).alias("_w")
     ).select("deme", "slot", F.col("_w.i").alias("ind_id"))
-    return skew_join(winners, population, list(KEY)).select("deme", "slot", "ind_id", "genes", "fitness")
+    return winners.join(population, list(KEY)).select("deme", "slot", "ind_id", "genes", "fitness")
 
 
 def tournament_parents(population: DataFrame, seed: int, generation: int) -> DataFrame:
@@ -226,35 +226,32 @@ def tournament_parents(population: DataFrame, seed: int, generation: int) -> Dat
             F.struct(F.lit(1).alias("side"), winner("c2", "c3").alias("ind_id")),
         )).alias("s"),
     ).select("deme", "pair_id", "s.side", "s.ind_id")
-    return _side_by_side(skew_join(sides, population, list(KEY)))
+    return _side_by_side(sides.join(population, list(KEY)))
 
 
 def roulette(population: DataFrame, seed: int, generation: int) -> DataFrame:
     """As many draws as individuals, in proportion to fitness, with replacement.
 
-    Needs non-negative fitness with a positive total per deme.  Draw points and
-    the running sums of fitness are laid out in one order; the count of sums
-    that start at or before a point is the position of the winner.
+    Needs non-negative fitness with a positive total per deme.  Every individual
+    owns the stretch of the running fitness sum that starts before it.  Starts
+    and draw points are laid out in one order, and each point takes the latest
+    start, so a much drawn individual is copied along the order and not joined.
     Gives ``(deme, slot, ind_id, genes, fitness)``.
     """
-    laid = OrderedRows(population.select(*KEY, "fitness"), ["deme"], ["ind_id"])
-    sums = laid.running_sum("fitness", "_cum").select("deme", "ind_id", (F.col("_cum") - F.col("fitness")).alias("at"))
-    positions = laid.numbered("rn")
+    laid = OrderedRows(population.select(*KEY, "genes", "fitness"), ["deme"], ["ind_id"])
+    starts = laid.running_sum("fitness", "_cum").select(
+        "deme", (F.col("_cum") - F.col("fitness")).alias("at"), F.lit(0).alias("kind"),
+        F.col("ind_id").alias("tie"), F.struct("ind_id", "genes", "fitness").alias("owner"),
+    )
     totals = population.groupBy("deme").agg(F.sum("fitness").alias("total"))
-    points = join_small(positions.select("deme", F.col("rn").alias("slot")), totals, ["deme"]).select(
+    points = join_small(laid.numbered("slot").select("deme", "slot"), totals, ["deme"]).select(
         "deme",
         (draw_unit(seed, generation, "roulette", F.col("deme"), F.col("slot")) * F.col("total")).alias("at"),
         F.lit(1).alias("kind"), F.col("slot").alias("tie"),
+        F.lit(None).cast(starts.schema["owner"].dataType).alias("owner"),
     )
-    marks = sums.select("deme", "at", F.lit(0).alias("kind"), F.col("ind_id").alias("tie"))
-    counted = OrderedRows(points.unionByName(marks), ["deme"], ["at", "kind", "tie"]).running_sum(
-        (1 - F.col("kind")).cast("bigint"), "rn"
-    )
-    drawn = counted.where("kind = 1").select("deme", F.col("tie").alias("slot"), "rn")
-    winners = skew_join(drawn, positions.select("deme", "rn", "ind_id"), ["deme", "rn"])
-    return skew_join(winners.select("deme", "slot", "ind_id"), population, list(KEY)).select(
-        "deme", "slot", "ind_id", "genes", "fitness"
-    )
+    drawn = OrderedRows(starts.unionByName(points), ["deme"], ["at", "kind", "tie"]).filled("owner", "who")
+    return drawn.where("kind = 1").select("deme", F.col("tie").alias("slot"), "who.*")
 
 
 def as_population(selected: DataFrame) -> DataFrame:

@@ -274,22 +274,22 @@ def times(factor: DataFrame, matrix: np.ndarray, column: str = "f") -> DataFrame
     return factor.withColumn(column, multiply(F.col(column)))
 
 
-def _with_factors(cells: DataFrame, factors: dict[int, DataFrame], width: int) -> DataFrame:
+def _with_factors(cells: DataFrame, factors: dict[int, DataFrame], numbers: dict[int, int]) -> DataFrame:
     """Add ``f<n>``, the factor row of index n, to every cell; cells without one drop out.
 
-    A factor is broadcast when its numbers (rows times ``width``) are few.
+    ``numbers`` says how many numbers a factor holds; a small one is broadcast.
     """
     for n, factor in factors.items():
         side = factor.select(F.col("row").cast("bigint").alias(index(n)), F.col("f").alias(f"f{n}"))
-        cells = join_small(cells, side, [index(n)], max_rows=CARRY_LIMIT // width)
+        cells = cells.join(F.broadcast(side) if numbers[n] <= CARRY_LIMIT else side, index(n))
     return cells
 
 
-def kruskal_at(cells: DataFrame, factors: Sequence[DataFrame], ranks: int) -> DataFrame:
+def kruskal_at(cells: DataFrame, factors: Sequence[DataFrame], rank: int, shape: Sequence[int]) -> DataFrame:
     """Value of the CP form at the given cells: work grows with the cells asked for."""
-    met = _with_factors(cells, dict(enumerate(factors)), ranks)
+    met = _with_factors(cells, dict(enumerate(factors)), {n: s * rank for n, s in enumerate(shape)})
     terms = [
-        reduce(lambda a, b: a * b, [F.col(f"f{n}")[r] for n in range(len(factors))]) for r in range(ranks)
+        reduce(lambda a, b: a * b, [F.col(f"f{n}")[r] for n in range(len(factors))]) for r in range(rank)
     ]
     return met.withColumn("value", reduce(lambda a, b: a + b, terms)).drop(*[f"f{n}" for n in range(len(factors))])
 
@@ -297,7 +297,7 @@ def kruskal_at(cells: DataFrame, factors: Sequence[DataFrame], ranks: int) -> Da
 def kruskal_to_tensor(factors: Sequence[DataFrame], rank: int, shape: Sequence[int]) -> Tensor:
     """The full tensor of a CP form."""
     cells = dense_cells(factors[0].sparkSession, shape)
-    return Tensor(kruskal_at(cells, factors, rank), tuple(shape))
+    return Tensor(kruskal_at(cells, factors, rank, shape), tuple(shape))
 
 
 def small_array(x: Tensor) -> np.ndarray:
@@ -310,7 +310,7 @@ def small_array(x: Tensor) -> np.ndarray:
     return out
 
 
-def tucker_at(cells: DataFrame, core: Tensor, factors: Sequence[DataFrame]) -> DataFrame:
+def tucker_at(cells: DataFrame, core: Tensor, factors: Sequence[DataFrame], shape: Sequence[int]) -> DataFrame:
     """Value of the Tucker form at the given cells; the core has the size of the ranks."""
     values = small_array(core)
     names = [f"f{n}" for n in range(core.order)]
@@ -322,20 +322,21 @@ def tucker_at(cells: DataFrame, core: Tensor, factors: Sequence[DataFrame]) -> D
             out = np.einsum("na...,na->n...", out, _stack(f))
         return pd.Series(out)
 
-    met = _with_factors(cells, dict(enumerate(factors)), max(core.shape))
+    numbers = {n: s * r for n, (s, r) in enumerate(zip(shape, core.shape))}
+    met = _with_factors(cells, dict(enumerate(factors)), numbers)
     return met.withColumn("value", contract(*names)).drop(*names)
 
 
 def tucker_to_tensor(core: Tensor, factors: Sequence[DataFrame], shape: Sequence[int]) -> Tensor:
     """The full tensor of a Tucker form."""
     cells = dense_cells(factors[0].sparkSession, shape)
-    return Tensor(tucker_at(cells, core, factors), tuple(shape))
+    return Tensor(tucker_at(cells, core, factors, shape), tuple(shape))
 
 
 def mttkrp(x: Tensor, factors: Sequence[DataFrame], mode: int, rank: int) -> DataFrame:
     """Matricised tensor times Khatri-Rao product: ``(row, f)`` with one sum per rank."""
     rest = {n: f for n, f in enumerate(factors) if n != mode}
-    met = _with_factors(x.cells, rest, rank)
+    met = _with_factors(x.cells, rest, {n: s * rank for n, s in enumerate(x.shape)})
     sums = [
         F.sum(reduce(lambda a, b: a * b, [F.col(f"f{n}")[r] for n in rest], F.col("value"))).alias(f"s{r}")
         for r in range(rank)
@@ -387,7 +388,9 @@ def parafac(x: Tensor, rank: int, sweeps: int = 100, tol: float = 1e-8, seed: in
 def _projected(x: Tensor, factors: Sequence[DataFrame], ranks: Sequence[int], mode: int) -> DataFrame:
     """``(row, f)``: the tensor contracted with all factors but one, unfolded by that mode."""
     rest = [n for n in range(x.order) if n != mode]
-    met = _with_factors(x.cells, {n: factors[n] for n in rest}, max(ranks))
+    met = _with_factors(
+        x.cells, {n: factors[n] for n in rest}, {n: s * r for n, (s, r) in enumerate(zip(x.shape, ranks))}
+    )
     combos = list(product(*[range(ranks[n]) for n in rest]))
     sums = [
         F.sum(reduce(lambda a, b: a * b, [F.col(f"f{n}")[r] for n, r in zip(rest, combo)], F.col("value"))).alias(f"s{k}")

@@ -148,6 +148,30 @@ class OrderedRows:
         )
 
 
+    def filled(self, value: str, name: str) -> DataFrame:
+        """Add the latest non-NULL ``value`` of the key up to and including the row."""
+        held = F.when(
+            F.col(value).isNotNull(),
+            F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(self.keys)], F.col(value).alias("v")),
+        )
+        rows = self.rows.withColumn("_held", held)
+        so_far = Window.partitionBy("_part").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
+        local = rows.withColumn("_fill", F.last("_held", ignorenulls=True).over(so_far))
+        # one row per partition
+        ends = rows.where("_held is not null").groupBy("_part").agg(F.max_by("_held", "_mid").alias("_end"))
+        before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        carried = (
+            self._parts.select("_part").join(ends, "_part", "left")
+            .withColumn("_carry", F.last("_end", ignorenulls=True).over(before))
+            .select("_part", "_carry")
+        )
+        filled = local.join(carried, "_part").withColumn("_fill", F.coalesce("_fill", "_carry"))
+        inside = F.col("_fill").isNotNull()
+        for i, key in enumerate(self.keys):
+            inside = inside & F.col(f"_fill.k{i}").eqNullSafe(F.col(key))
+        return filled.select(*self.columns, "_mid", "_part", "_g", F.when(inside, F.col("_fill.v")).alias(name))
+
+
 def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str = "rn") -> DataFrame:
     """Shorthand for ``OrderedRows(df, keys, order).numbered(name)``."""
     return OrderedRows(df, keys, order).numbered(name)

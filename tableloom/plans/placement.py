@@ -19,6 +19,15 @@ def gather(df: DataFrame, n: int) -> DataFrame:
     return df.coalesce(n)
 
 
+def well_spread(df: DataFrame) -> DataFrame:
+    """Spread a scan of a few files over the cores before heavy work on each row.
+
+    A large input has many more splits than cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if partition_count(df) < 2 * cores else df
+
+
 def partition_count(df: DataFrame) -> int:
     return df.rdd.getNumPartitions()
 

@@ -18,10 +18,14 @@ def row_count_up_to(df: DataFrame, bound: int) -> int:
 def join_small(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", max_rows: int = SMALL_ROWS
 ) -> DataFrame:
-    """Broadcast ``right`` when it has at most ``max_rows`` rows, else spread hot keys of ``left``."""
+    """Broadcast ``right`` when it has at most ``max_rows`` rows, else join by shuffle.
+
+    Meant for a ``right`` with one row per key; the adaptive skew join then
+    splits hot keys of ``left`` by itself.
+    """
     if row_count_up_to(right, max_rows) <= max_rows:
         return left.join(F.broadcast(right), list(on), how)
-    return skew_join(left, right, on, how)
+    return left.join(right, list(on), how)
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], share: float) -> DataFrame:
@@ -45,8 +49,9 @@ def skew_join(
     Rows of a hot key get a salt from the hash of the whole row, the matching
     rows of ``right`` are repeated once per salt, all others keep salt 0.  Every
     left row still meets every match exactly once, so inner, left, semi and anti
-    joins are exact.  Only the few hot rows of ``right`` are repeated.  Pass
-    ``hot`` (distinct key rows) when the hot keys are known already.
+    joins are exact.  Only the few hot rows of ``right`` are repeated.  Finding
+    the hot keys reads ``left`` once more, so give a stored table, or pass
+    ``hot`` (distinct key rows) when they are known already.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("skew_join spreads the left side; use inner, left, left_semi or left_anti")

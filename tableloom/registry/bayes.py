@@ -107,12 +107,13 @@ def b1(t):
 @query("b2_token_counts", f"""
 SELECT token, count(*) AS cnt FROM (SELECT unnest({TOKENS}) AS token FROM documents) GROUP BY token""")
 def b2(t):
-    return nb.token_counts(t.documents.select("text"))
+    words = nb.token_rows(t.documents.select("text"))
+    return words.groupBy("token").agg(F.count("*").alias("cnt"))
 
 
 @query("b3_vocabulary_index", f"WITH {CORPUS} SELECT token, cnt, idx FROM vocab")
 def b3(t):
-    return nb.vocabulary(t.documents)
+    return nb.vocabulary(nb.token_counts(t.documents.select("doc_id", "text")))
 
 
 @query("b4_dense_vectors", f"""
@@ -121,9 +122,8 @@ WITH {CORPUS}, v AS (SELECT doc_id, idx, count(*) AS cnt FROM corpus JOIN vocab
 SELECT doc_id, count(*) AS n_cells, CAST(sum(cnt) AS BIGINT) AS total,
        CAST(sum(cnt * (idx % 1009)) AS BIGINT) AS checksum FROM v GROUP BY doc_id""")
 def b4(t):
-    vectors = nb.count_vectors(
-        materialize(nb.token_counts(t.documents.select("doc_id", "text"))), nb.vocabulary(t.documents), dense=True
-    )
+    counts = materialize(nb.token_counts(t.documents.select("doc_id", "text")))
+    vectors = nb.count_vectors(counts, nb.vocabulary(counts), dense=True)
     return vectors.groupBy("doc_id").agg(
         F.count("*").alias("n_cells"),
         F.sum("cnt").alias("total"),
@@ -135,7 +135,7 @@ def b4(t):
 WITH {CORPUS} SELECT doc_id, idx, count(*) AS cnt FROM corpus JOIN vocab USING (token) GROUP BY ALL""")
 def b5(t):
     counts = materialize(nb.token_counts(t.documents.select("doc_id", "text")))
-    return nb.count_vectors(counts, nb.vocabulary(t.documents))
+    return nb.count_vectors(counts, nb.vocabulary(counts)).drop("first")
 
 
 NAMED = "CASE WHEN quality = 1 THEN 'ham' WHEN toxic = 1 THEN 'toxic' ELSE 'spam' END"
