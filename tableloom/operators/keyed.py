@@ -202,7 +202,8 @@ def combine_by_key(
             if len(accs) > flush:
                 yield emit(accs)
                 accs = {}
-        yield emit(accs)
+        if accs:
+            yield emit(accs)
 
     def final(group: pd.DataFrame) -> pd.DataFrame:
         total = reduce(merge, [tuple(a) for a in group["acc"]])
@@ -255,8 +256,9 @@ def union_all(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def intersection(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct common rows; both sides are reduced before they meet."""
     same_schema(left, right)
-    return left.intersect(right)
+    return left.distinct().intersect(right.distinct())
 
 
 def minus_all(left: DataFrame, right: DataFrame) -> DataFrame:

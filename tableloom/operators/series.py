@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,65 +10,58 @@ from pyspark.sql import functions as F
 
 from tableloom.plans.ordered import OrderedRows
 
+# Rows of one block: neighbours share all but the low bits of their position.
+BLOCK_BITS = 20
+
 
 def moving_value(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: str, weight: float, name: str = "moving"
 ) -> DataFrame:
     """``m = (1 - weight) * m + weight * x`` along the order, starting at the first value.
 
-    Each range partition is smoothed on its own.  A key that continues from the
-    partition before gets the missing start value as a correction that fades
-    with its position, so the result is exact and no key sits in one task.
+    Blocks of neighbouring rows are smoothed on their own.  A key that continues
+    from the block before gets the missing start value as a correction that
+    fades with its position, so the result is exact and no key sits in one task.
+    The driver sees one row per block of up to a million rows.
     """
     keys = list(keys)
     ordered = OrderedRows(df, keys, order)
-    source = df.schema
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source)
-
-    def smooth(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("_mid", kind="stable")
-        run = (group[keys].ne(group[keys].shift())).any(axis=1).cumsum() if keys else pd.Series(0, index=group.index)
-        by = group.groupby(run, sort=False)[value]
-        group["_local"] = by.transform(lambda s: s.ewm(alpha=weight, adjust=False).mean())
-        group["_at"] = by.cumcount() + 1
-        group["_first"] = by.transform("first")
-        group["_piece"] = run.astype("int64")
-        return group
-
-    schema = f"{fields}, _mid bigint, _part bigint, _g bigint, _local double, _at bigint, _first double, _piece bigint"
-    local = ordered.rows.select(*ordered.columns, "_mid", "_part", "_g").groupBy("_part").applyInPandas(smooth, schema)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
-    # first and last piece of every partition: two rows per partition at most
-    ends = (
-        local.groupBy("_part")
-        .agg(
-            F.min_by(F.struct(*keys), "_mid").alias("first_key") if keys else F.lit(0).alias("first_key"),
-            F.max_by(F.struct(*keys), "_mid").alias("last_key") if keys else F.lit(0).alias("last_key"),
-            F.max_by(F.struct("_local", "_at", "_first", "_piece"), "_mid").alias("last"),
-            F.min("_piece").alias("first_piece"),
+    def smooth(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values("_mid", kind="stable")
+        if keys:
+            piece = block[keys].ne(block[keys].shift()).any(axis=1).cumsum()
+        else:
+            piece = pd.Series(1, index=block.index)
+        by = block.groupby(piece, sort=False)[value]
+        return block.assign(
+            _local=by.transform(lambda s: s.ewm(alpha=weight, adjust=False).mean()),
+            _at=by.cumcount() + 1, _first=by.transform("first"), _piece=piece.astype("int64"),
         )
-        .orderBy("_part")
-        .collect()
+
+    laid = ordered.rows.select(*ordered.columns, "_mid", F.shiftright("_mid", BLOCK_BITS).alias("_block"))
+    local = laid.groupBy("_block").applyInPandas(
+        smooth, f"{fields}, _mid bigint, _block bigint, _local double, _at bigint, _first double, _piece bigint"
     )
+    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+    ends = local.groupBy("_block").agg(
+        F.min_by(key, "_mid").alias("first_key"), F.max_by(key, "_mid").alias("last_key"),
+        F.max_by(F.struct("_local", "_at", "_first", "_piece"), "_mid").alias("last"),
+    ).collect()
     keep = 1.0 - weight
-    starts: list[tuple[int, float]] = []
-    carried, carried_key = None, None
-    for row in ends:
-        continues = carried is not None and row["first_key"] == carried_key
-        if continues:
-            starts.append((row["_part"], carried))
-        end = row["last"]
-        carried_here = end["_local"]
-        if continues and end["_piece"] == row["first_piece"]:
-            carried_here += keep ** end["_at"] * (carried - end["_first"])
-        carried, carried_key = carried_here, row["last_key"]
-    firsts = [(r["_part"], r["first_piece"]) for r in ends]
-    start_of = dict(starts)
-    carry = df.sparkSession.createDataFrame(
-        [(p, piece, start_of.get(p)) for p, piece in firsts], "_part bigint, _piece bigint, _start double"
-    )
-    # one row per partition
-    joined = local.join(F.broadcast(carry), ["_part", "_piece"], "left")
+    starts, carried, carried_key = [], 0.0, None
+    for block in sorted(ends, key=lambda b: b["_block"]):
+        end = block["last"]
+        value_here = end["_local"]
+        if block["first_key"] == carried_key:
+            starts.append((block["_block"], 1, carried))
+            if end["_piece"] == 1:
+                value_here += keep ** end["_at"] * (carried - end["_first"])
+        carried, carried_key = value_here, block["last_key"]
+    carry = df.sparkSession.createDataFrame(starts, "_block bigint, _piece bigint, _start double")
+    # fewer rows than blocks
+    joined = local.join(F.broadcast(carry), ["_block", "_piece"], "left")
     correction = F.coalesce(
         F.pow(F.lit(keep), F.col("_at")) * (F.col("_start") - F.col("_first")), F.lit(0.0)
     )

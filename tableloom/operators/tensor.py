@@ -255,6 +255,14 @@ def gram(factor: DataFrame, size: int, column: str = "f") -> np.ndarray:
     """``f^T f`` of an array column."""
     if size > SOLVE_LIMIT:
         raise ValueError(f"a {size} x {size} matrix is too large for the driver")
+    if size <= 12:
+        f = F.col(column)
+        upper = [(i, j) for i in range(size) for j in range(i, size)]
+        row = factor.agg(*[F.sum(f[i] * f[j]).alias(f"g{i}_{j}") for i, j in upper]).first()
+        out = np.zeros((size, size))
+        for i, j in upper:
+            out[i, j] = out[j, i] = row[f"g{i}_{j}"] or 0.0
+        return out
     return _partial_sums(factor, [column], lambda f: (f.T @ f).ravel(), size * size).reshape(size, size)
 
 

@@ -330,15 +330,24 @@ def f30(t):
     )
 
 
-@query("f31_stable_hash")
+@query("f31_stable_hash", """
+SELECT split_part(url, '/', 3) AS host, count(*) AS n, count(DISTINCT url) AS n_hashes, 1::BIGINT AS n_buckets FROM pages GROUP BY 1""")
 def f31(t):
+    """Equal values hash alike: one bucket per host, one hash per address."""
     host = F.parse_url("url", F.lit("HOST"))
-    return t.pages.select(
-        "page_id", F.xxhash64("url").alias("url_hash"), F.pmod(F.xxhash64(host), F.lit(20)).alias("host_bucket")
+    hashed = t.pages.select(
+        host.alias("host"), F.xxhash64("url").alias("h"), F.pmod(F.xxhash64(host), F.lit(20)).alias("bucket")
+    )
+    per_hash = hashed.groupBy("host", "h").agg(F.count("*").alias("n"), F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
+    spread = F.max("hi") - F.min("lo") + 1
+    return per_hash.groupBy("host").agg(
+        F.sum("n").alias("n"), F.count("*").alias("n_hashes"), spread.alias("n_buckets")
     )
 
 
-@query("f32_type_names")
+@query("f32_type_names", """
+SELECT DISTINCT lower(typeof(event_id)) AS id_type, lower(typeof(value)) AS value_type,
+       typeof(props) = 'VARCHAR' AS props_is_text FROM events""")
 def f32(t):
     return t.events.select(
         F.typeof("event_id").alias("id_type"), F.typeof("value").alias("value_type"),
