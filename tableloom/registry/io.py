@@ -228,9 +228,10 @@ def loaded_table(t, name):
         ],
         comment="customers by number",
     )
-    t.customer.select(
+    rows = t.customer.select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance")
-    ).write.insertInto(f"{name}.customers")
+    )
+    catalog.insert_rows(rows, f"{name}.customers", required=["id"])
 
 
 @query("q2_list_databases", "SELECT true AS listed, count(*) AS n FROM customer")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def run_sql(spark: SparkSession, statement: str, **args) -> DataFrame:
@@ -61,6 +62,16 @@ def column(name: str, kind: str, required: bool = False, default: str | None = N
     return " ".join(parts)
 
 
+def insert_rows(df: DataFrame, table: str, required: Sequence[str] = ()) -> None:
+    """Append by position.  File tables do not check NOT NULL, so ``required`` columns are checked here."""
+    checked = [
+        F.when(F.col(c).isNull(), F.raise_error(F.lit(f"{c} must not be NULL"))).otherwise(F.col(c)).alias(c)
+        if c in required else F.col(c)
+        for c in df.columns
+    ]
+    df.select(*checked).write.insertInto(table)
+
+
 def create_table(spark: SparkSession, name: str, columns: Sequence[str], comment: str | None = None) -> None:
     """A parquet table.  Spark has no automatic keys; number the rows when they are written."""
     about = f" COMMENT {_text(comment)}" if comment else ""

@@ -21,7 +21,7 @@ def spark():
     session.stop()
 
 
-@pytest.fixture(params=[1, 3, 40])
+@pytest.fixture(params=[1, 12])
 def partitions(request, spark):
     """Run a test under several shuffle widths, without merging small partitions."""
     keys = {"spark.sql.shuffle.partitions": str(request.param), "spark.sql.adaptive.coalescePartitions.enabled": "false"}

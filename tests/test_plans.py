@@ -132,14 +132,29 @@ def test_well_spread_leaves_large_scans_alone(spark):
     assert partition_count(well_spread(wide)) == 5 * cores
 
 
-def test_scratch_uses_the_named_folder(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    except Exception:
-        pytest.skip("the setting is fixed for this session")
-    try:
-        df = scratch.materialize(spark.range(5))
-        assert df.count() == 5 and any(tmp_path.iterdir())
-    finally:
-        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
+def test_scratch_uses_the_named_folder(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    stored = scratch.materialize(spark.range(5))
+    assert stored.count() == 5
+    files = stored.inputFiles()
+    assert files and all(scratch.scratch_root(spark) in f for f in files)
+    if named:
+        assert scratch.scratch_root(spark) == named.rstrip("/")
+
+
+def test_scratch_refuses_a_local_folder_on_a_cluster():
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        scratch.scratch_root(Session())
