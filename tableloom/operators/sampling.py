@@ -21,15 +21,32 @@ def shuffled(df: DataFrame, id_col: str, seed: int, keys: Sequence[str] = (), na
 
 
 def split_exact(df: DataFrame, id_col: str, ratio: float, seed: int, name: str = "is_train") -> DataFrame:
-    """Mark exactly ``int(n * ratio)`` random rows."""
-    ordered = OrderedRows(
-        df.withColumn("_draw", draw(seed, "split", F.col(id_col))), (), ["_draw", id_col]
-    )
-    return (
-        ordered.numbered("_rn")
-        .withColumn(name, F.col("_rn") <= F.lit(int(ordered.total * ratio)))
-        .drop("_rn", "_draw")
-    )
+    """Mark exactly ``int(n * ratio)`` random rows: those with the smallest draws.
+
+    The last marked draw is found by counting draws by their high and then their
+    low 16 bits, two aggregations of at most 65,536 rows each.  The mark itself
+    is a comparison inside the row, so the table is neither sorted nor moved.
+    """
+    drawn = draw(seed, "split", F.col(id_col))
+    wanted = None
+    low_bits, chosen = 16, F.lit(True)
+    at = 0
+    for level, bucket in enumerate((F.shiftright(drawn, low_bits), drawn % (1 << low_bits))):
+        sizes = df.where(chosen).groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect()
+        if wanted is None:
+            wanted = int(sum(r["n"] for r in sizes) * ratio)
+            if wanted == 0:
+                return df.withColumn(name, F.lit(False))
+        for row in sorted(sizes, key=lambda r: r["b"]):
+            if wanted <= row["n"]:
+                at = (at << low_bits) + row["b"]
+                break
+            wanted -= row["n"]
+        chosen = (F.shiftright(drawn, low_bits) == at) if level == 0 else (drawn == at)
+    # equal draws are a handful of rows; the id decides among them
+    last = df.where(chosen).orderBy(id_col).select(id_col).limit(wanted).agg(F.max(id_col)).first()[0]
+    marked = (drawn < at) | ((drawn == at) & (F.col(id_col) <= F.lit(last)))
+    return df.withColumn(name, marked)
 
 
 def split_exact_by(

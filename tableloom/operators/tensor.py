@@ -66,6 +66,16 @@ def _unflat(flat: Column, shape: Sequence[int]) -> list[Column]:
     ]
 
 
+def _number(v: float) -> str:
+    """A double literal of SQL."""
+    return f"{float(v)!r}D" if np.isfinite(v) else f"double('{float(v)!r}')"
+
+
+def _product(n_and_r: Sequence[tuple[int, int]], *more: str) -> str:
+    """SQL for the product of factor entries ``f<n>[r]``; long sums are cheaper to build as text."""
+    return " * ".join([*more, *[f"f{n}[{r}]" for n, r in n_and_r]])
+
+
 # ---- creation and layout ---------------------------------------------------
 
 
@@ -255,10 +265,9 @@ def gram(factor: DataFrame, size: int, column: str = "f") -> np.ndarray:
     """``f^T f`` of an array column."""
     if size > SOLVE_LIMIT:
         raise ValueError(f"a {size} x {size} matrix is too large for the driver")
-    if size <= 12:
-        f = F.col(column)
+    if size <= 6:
         upper = [(i, j) for i in range(size) for j in range(i, size)]
-        row = factor.agg(*[F.sum(f[i] * f[j]).alias(f"g{i}_{j}") for i, j in upper]).first()
+        row = factor.agg(*[F.expr(f"sum({column}[{i}] * {column}[{j}])").alias(f"g{i}_{j}") for i, j in upper]).first()
         out = np.zeros((size, size))
         for i, j in upper:
             out[i, j] = out[j, i] = row[f"g{i}_{j}"] or 0.0
@@ -269,11 +278,8 @@ def gram(factor: DataFrame, size: int, column: str = "f") -> np.ndarray:
 def times(factor: DataFrame, matrix: np.ndarray, column: str = "f") -> DataFrame:
     """Multiply every array by a small matrix; tiny ones as a plain expression."""
     if matrix.size <= 256:
-        f = F.col(column)
-        sums = [
-            reduce(lambda a, b: a + b, [f[i] * F.lit(float(v)) for i, v in enumerate(side)]) for side in matrix.T
-        ]
-        return factor.withColumn(column, F.array(*sums))
+        sums = [" + ".join(f"{column}[{i}] * {_number(v)}" for i, v in enumerate(side)) for side in matrix.T]
+        return factor.withColumn(column, F.expr(f"array({', '.join(sums)})"))
 
     @F.pandas_udf("array<double>")
     def multiply(f: pd.Series) -> pd.Series:
@@ -296,10 +302,8 @@ def _with_factors(cells: DataFrame, factors: dict[int, DataFrame], numbers: dict
 def kruskal_at(cells: DataFrame, factors: Sequence[DataFrame], rank: int, shape: Sequence[int]) -> DataFrame:
     """Value of the CP form at the given cells: work grows with the cells asked for."""
     met = _with_factors(cells, dict(enumerate(factors)), {n: s * rank for n, s in enumerate(shape)})
-    terms = [
-        reduce(lambda a, b: a * b, [F.col(f"f{n}")[r] for n in range(len(factors))]) for r in range(rank)
-    ]
-    return met.withColumn("value", reduce(lambda a, b: a + b, terms)).drop(*[f"f{n}" for n in range(len(factors))])
+    terms = " + ".join(_product([(n, r) for n in range(len(factors))]) for r in range(rank))
+    return met.withColumn("value", F.expr(terms)).drop(*[f"f{n}" for n in range(len(factors))])
 
 
 def kruskal_to_tensor(factors: Sequence[DataFrame], rank: int, shape: Sequence[int]) -> Tensor:
@@ -319,7 +323,11 @@ def small_array(x: Tensor) -> np.ndarray:
 
 
 def tucker_at(cells: DataFrame, core: Tensor, factors: Sequence[DataFrame], shape: Sequence[int]) -> DataFrame:
-    """Value of the Tucker form at the given cells; the core has the size of the ranks."""
+    """Value of the Tucker form at the given cells; the core has the size of the ranks.
+
+    A small core is written out as an expression, a larger one is contracted in
+    Arrow batches.
+    """
     values = small_array(core)
     names = [f"f{n}" for n in range(core.order)]
 
@@ -332,6 +340,9 @@ def tucker_at(cells: DataFrame, core: Tensor, factors: Sequence[DataFrame], shap
 
     numbers = {n: s * r for n, (s, r) in enumerate(zip(shape, core.shape))}
     met = _with_factors(cells, dict(enumerate(factors)), numbers)
+    if values.size <= 64:
+        terms = " + ".join(_product(list(enumerate(at)), _number(v)) for at, v in np.ndenumerate(values))
+        return met.withColumn("value", F.expr(terms)).drop(*names)
     return met.withColumn("value", contract(*names)).drop(*names)
 
 
@@ -345,12 +356,9 @@ def mttkrp(x: Tensor, factors: Sequence[DataFrame], mode: int, rank: int) -> Dat
     """Matricised tensor times Khatri-Rao product: ``(row, f)`` with one sum per rank."""
     rest = {n: f for n, f in enumerate(factors) if n != mode}
     met = _with_factors(x.cells, rest, {n: s * rank for n, s in enumerate(x.shape)})
-    sums = [
-        F.sum(reduce(lambda a, b: a * b, [F.col(f"f{n}")[r] for n in rest], F.col("value"))).alias(f"s{r}")
-        for r in range(rank)
-    ]
+    sums = [F.expr(f"sum({_product([(n, r) for n in rest], 'value')}) AS s{r}") for r in range(rank)]
     rows = met.groupBy(F.col(index(mode)).alias("row")).agg(*sums)
-    return rows.select("row", F.array(*[f"s{r}" for r in range(rank)]).alias("f"))
+    return rows.select("row", F.expr(f"array({', '.join(f's{r}' for r in range(rank))}) AS f"))
 
 
 # ---- CP --------------------------------------------------------------------
@@ -369,7 +377,7 @@ def parafac(x: Tensor, rank: int, sweeps: int = 100, tol: float = 1e-8, seed: in
     The error comes from the Gram matrices, without building the tensor.
     """
     spark = x.cells.sparkSession
-    factors = [materialize(random_factor(spark, s, rank, seed, n)) for n, s in enumerate(x.shape)]
+    factors = [random_factor(spark, s, rank, seed, n) for n, s in enumerate(x.shape)]
     grams = [gram(f, rank) for f in factors]
     size = x.cells.agg(F.sum(F.col("value") * F.col("value"))).first()[0]
     errors: list[float] = []
@@ -401,11 +409,10 @@ def _projected(x: Tensor, factors: Sequence[DataFrame], ranks: Sequence[int], mo
     )
     combos = list(product(*[range(ranks[n]) for n in rest]))
     sums = [
-        F.sum(reduce(lambda a, b: a * b, [F.col(f"f{n}")[r] for n, r in zip(rest, combo)], F.col("value"))).alias(f"s{k}")
-        for k, combo in enumerate(combos)
+        F.expr(f"sum({_product(list(zip(rest, combo)), 'value')}) AS s{k}") for k, combo in enumerate(combos)
     ]
     rows = met.groupBy(F.col(index(mode)).alias("row")).agg(*sums)
-    return rows.select("row", F.array(*[f"s{k}" for k in range(len(combos))]).alias("f"))
+    return rows.select("row", F.expr(f"array({', '.join(f's{k}' for k in range(len(combos)))}) AS f"))
 
 
 def tucker(x: Tensor, ranks: Sequence[int], sweeps: int = 50, tol: float = 1e-6, seed: int = 64) -> Decomposition:
@@ -415,7 +422,7 @@ def tucker(x: Tensor, ranks: Sequence[int], sweeps: int = 50, tol: float = 1e-6,
     The core follows from the last one: ``U^T Y = S V^T``.
     """
     spark = x.cells.sparkSession
-    factors = [materialize(random_factor(spark, s, r, seed, n)) for n, (s, r) in enumerate(zip(x.shape, ranks))]
+    factors = [random_factor(spark, s, r, seed, n) for n, (s, r) in enumerate(zip(x.shape, ranks))]
     size = x.cells.agg(F.sum(F.col("value") * F.col("value"))).first()[0]
     errors: list[float] = []
     core = None
@@ -562,7 +569,7 @@ class KruskalRegressor:
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Add ``predicted``."""
-        w = F.array(*[F.lit(float(v)) for v in self.weights().ravel()])
+        w = F.expr(f"array({', '.join(_number(v) for v in self.weights().ravel())})")
         return df.withColumn("predicted", dot(F.col("x"), w))
 
 
