@@ -229,9 +229,9 @@ def holdout_text(docs: DataFrame, marked: DataFrame, dense: bool = False, use_pr
     Gives ``(doc_id, label, predicted)`` of the rows that are not marked.  The
     texts are split into tokens once.
     """
-    labelled = docs.select("doc_id", "text").join(marked, "doc_id")
+    labelled = well_spread(docs.select("doc_id", "text")).join(marked, "doc_id")
     counts = materialize(token_counts(labelled))
-    known = labelled.select("doc_id", "label", "is_train")
+    known = docs.select("doc_id").join(marked, "doc_id")
     if dense:
         # the dense form never counts the word of index 0
         counts = counts.where(F.col("token") != first_word(labelled).scalar())

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tableloom.functions import text as tx
 from tableloom.functions.draws import draw, draw_below, draw_unit
 from tableloom.plans.ordered import OrderedRows, numbered
-from tableloom.plans.scratch import materialize
+from tableloom.plans.scratch import discard, materialize, temporary
 from tableloom.plans.skew import join_small
 
 KEY = ("deme", "ind_id")
@@ -523,23 +523,39 @@ def evolve(
     """Score and step until a deme reaches ``target`` or the generations are used up.
 
     Each generation is written down, so its plan does not grow and a lost
-    executor costs one generation at most.  What reaches the driver is one row
-    of statistics.
+    executor costs one generation at most; the one before is removed then.  What
+    reaches the driver is one row of statistics.  ``on_generation`` may read the
+    generation during the call.
     """
-    run = Run(population, 0)
-    for generation in range(max_generations + 1):
-        scored = materialize(score(run.population, fitness))
-        figures = scored.agg(
+
+    def figures(scored: DataFrame) -> dict:
+        return scored.agg(
             F.count("*").alias("n"), F.max("fitness").alias("best"), F.min("fitness").alias("worst"),
             F.avg("fitness").alias("mean"),
         ).first().asDict()
-        run.history.append({"generation": generation, **figures})
+
+    def finished(history: list[dict]) -> bool:
+        return target is not None and history[-1]["best"] >= target
+
+    return _drive(population, fitness, step, seed, max_generations, finished, figures, on_generation)
+
+
+def _drive(population, fitness, step, seed, limit, finished, figures, on_generation=None) -> Run:
+    spark = population.sparkSession
+    run = Run(population, 0)
+    for generation in range(limit + 1):
+        with temporary(spark) as kept:
+            following = population if generation == 0 else step(run.population, seed, generation - 1)
+            scored = materialize(score(following, fitness))
+            kept.append(scored)
+        if generation > 0:
+            discard(run.population)
         run.population, run.generations = scored, generation
+        run.history.append({"generation": generation, **figures(scored)})
         if on_generation is not None:
             on_generation(scored, generation)
-        if generation == max_generations or (target is not None and figures["best"] >= target):
+        if finished(run.history):
             break
-        run.population = step(scored, seed, generation)
     return run
 
 
@@ -565,16 +581,13 @@ class Genetics(Protocol):
 
 def run_genetics(genetics: Genetics, seed: int, limit: int) -> Run:
     """Drive a :class:`Genetics` until it is finished or ``limit`` generations passed."""
-    run = Run(genetics.initial(), 0)
-    for generation in range(limit + 1):
-        scored = materialize(score(run.population, genetics.fitness))
-        figures = scored.agg(F.count("*").alias("n"), F.max("fitness").alias("best")).first().asDict()
-        run.history.append({"generation": generation, **figures})
-        run.population, run.generations = scored, generation
-        if generation == limit or genetics.finished(run.history):
-            break
-        run.population = genetics.next_generation(scored, seed, generation)
-    return run
+
+    def figures(scored: DataFrame) -> dict:
+        return scored.agg(F.count("*").alias("n"), F.max("fitness").alias("best")).first().asDict()
+
+    return _drive(
+        genetics.initial(), genetics.fitness, genetics.next_generation, seed, limit, genetics.finished, figures
+    )
 
 
 class Toolbox:

@@ -87,7 +87,7 @@ def bursts(
     wanted = starts.withColumn(
         "pos", F.explode(F.sequence(F.col("run_start"), F.col("run_start") + F.lit(length - 1)))
     )
-    return rows.join(wanted, "pos")
+    return join_small(rows, wanted, ["pos"])
 
 
 def pick_uniform(rows: DataFrame, slots: DataFrame, sizes: DataFrame, key: str, seed: int) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableloom.functions.draws import draw_normal, draw_unit
-from tableloom.plans.scratch import materialize
+from tableloom.plans.scratch import discard, materialize
 from tableloom.plans.skew import join_small, skew_join
 
 # Largest matrix side that may be solved on the driver.
@@ -381,9 +381,12 @@ def parafac(x: Tensor, rank: int, sweeps: int = 100, tol: float = 1e-8, seed: in
     grams = [gram(f, rank) for f in factors]
     size = x.cells.agg(F.sum(F.col("value") * F.col("value"))).first()[0]
     errors: list[float] = []
+    targets: list[DataFrame | None] = [None] * x.order
     for _ in range(sweeps):
         for mode in range(x.order):
             target = materialize(mttkrp(x, factors, mode, rank))
+            discard(targets[mode])
+            targets[mode] = target
             others = reduce(lambda a, b: a * b, [g for n, g in enumerate(grams) if n != mode])
             solve = np.linalg.pinv(others)
             inner = gram(target, rank)
@@ -426,10 +429,13 @@ def tucker(x: Tensor, ranks: Sequence[int], sweeps: int = 50, tol: float = 1e-6,
     size = x.cells.agg(F.sum(F.col("value") * F.col("value"))).first()[0]
     errors: list[float] = []
     core = None
+    projections: list[DataFrame | None] = [None] * x.order
     for _ in range(sweeps):
         for mode in range(x.order):
             side = prod(r for n, r in enumerate(ranks) if n != mode)
             y = materialize(_projected(x, factors, ranks, mode))
+            discard(projections[mode])
+            projections[mode] = y
             values, vectors = np.linalg.eigh(gram(y, side))
             top = np.argsort(values)[::-1][: ranks[mode]]
             sigma = np.sqrt(np.maximum(values[top], 0.0))

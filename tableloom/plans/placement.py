@@ -19,13 +19,15 @@ def gather(df: DataFrame, n: int) -> DataFrame:
     return df.coalesce(n)
 
 
-def well_spread(df: DataFrame) -> DataFrame:
-    """Spread a scan of a few files over the cores before heavy work on each row.
+def well_spread(df: DataFrame, per_core: int = 32 << 20) -> DataFrame:
+    """Spread a small scan over the cores before heavy work on each row.
 
-    A large input has many more splits than cores and is left alone.
+    Decided by the size the optimizer knows, without running anything; a large
+    input has many splits of its own and is left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if partition_count(df) < 2 * cores else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * per_core else df
 
 
 def partition_count(df: DataFrame) -> int:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,10 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_root
 
 
+# paths written inside the innermost ``temporary`` block
+_open: list[list[str]] = []
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once and read it back.
 
@@ -36,19 +42,50 @@ def materialize(df: DataFrame) -> DataFrame:
     exact file sizes, so that Spark's own size check decides about broadcasts.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/tableloom-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = scratch_path(spark, "table")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if _open:
+        _open[-1].append(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._scratch = path
+    return stored
 
 
-def release(spark: SparkSession) -> None:
-    """Delete every table this application wrote with :func:`materialize`."""
-    root = f"{scratch_root(spark)}/tableloom-{spark.sparkContext.applicationId}"
+def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(root)
+    target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def discard(df: DataFrame | None) -> None:
+    """Delete the files of a result of :func:`materialize`; anything else is left alone."""
+    path = getattr(df, "_scratch", None)
+    if path is not None:
+        _delete(df.sparkSession, path)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Delete what is written inside the block, except tables put into the list it gives."""
+    kept: list[DataFrame] = []
+    _open.append([])
+    try:
+        yield kept
+    finally:
+        spared = {getattr(df, "_scratch", None) for df in kept}
+        paths = _open.pop()
+        for path in paths:
+            if path not in spared:
+                _delete(spark, path)
+        if _open:
+            _open[-1].extend(p for p in paths if p in spared)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every table this application wrote with :func:`materialize`."""
+    _delete(spark, f"{scratch_root(spark)}/tableloom-{spark.sparkContext.applicationId}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the scratch folder, removed by :func:`release`."""
     return f"{scratch_root(spark)}/tableloom-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tableloom.plans import placement
 from tableloom.plans.scratch import scratch_path
+from tableloom.plans.skew import row_count_up_to
 from tableloom.registry import query
 from tableloom.sources import catalog, readers, writers
 from tableloom.streaming import packets
@@ -170,7 +171,9 @@ def s21(t):
 
 @query("s24_in_memory_rows", "SELECT r_regionkey, r_name FROM region")
 def s24(t):
-    rows = [(r["r_regionkey"], r["r_name"]) for r in t.region.limit(1000).collect()]
+    if row_count_up_to(t.region, 1000) > 1000:
+        raise ValueError("too many rows for a list on the driver")
+    rows = [(r["r_regionkey"], r["r_name"]) for r in t.region.collect()]
     return readers.from_rows(t.spark, rows, "r_regionkey int, r_name string", slices=2)
 
 

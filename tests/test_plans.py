@@ -129,7 +129,32 @@ def test_well_spread_leaves_large_scans_alone(spark):
     cores = spark.sparkContext.defaultParallelism
     assert partition_count(well_spread(spark.range(10).coalesce(1))) == cores
     wide = spark.range(0, 1000, 1, 5 * cores)
-    assert partition_count(well_spread(wide)) == 5 * cores
+    assert partition_count(well_spread(wide, per_core=100)) == 5 * cores
+
+
+def test_a_hot_key_is_spread_over_partitions(spark):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(20_000).select("id", F.when(F.col("id") % 3 > 0, "hot").otherwise("cold").alias("key"))
+        rows = OrderedRows(df, ["key"], ["id"]).rows
+        sizes = [r["count"] for r in rows.where("key = 'hot'").groupBy("_part").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(sizes) >= 3 and max(sizes) < 10_000
+
+
+def test_temporary_tables_go_and_kept_ones_stay(spark):
+    with scratch.temporary(spark) as kept:
+        gone, stays = scratch.materialize(spark.range(3)), scratch.materialize(spark.range(4))
+        kept.append(stays)
+    assert stays.count() == 4
+    with pytest.raises(Exception):
+        spark.read.parquet(gone._scratch).count()
+    scratch.discard(stays)
+    scratch.discard(spark.range(1))  # not ours: nothing happens
+    with pytest.raises(Exception):
+        spark.read.parquet(stays._scratch).count()
 
 
 def test_scratch_uses_the_named_folder(spark):
