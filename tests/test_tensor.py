@@ -99,8 +99,8 @@ def test_reconstructions(spark):
 def test_cp_recovers_a_planted_tensor(spark):
     values, _ = planted(2, (6, 5, 4))
     x = tn.Tensor(materialize(table(spark, values).cells), values.shape)
-    found = tn.parafac(x, 2, sweeps=25, tol=1e-7, seed=7)
-    assert found.errors[-1] < 1e-2
+    found = tn.parafac(x, 2, sweeps=12, tol=1e-7, seed=7)
+    assert found.errors[-1] < 5e-2
     assert all(b <= a + 1e-6 for a, b in zip(found.errors, found.errors[1:]))
     rebuilt = array(tn.kruskal_to_tensor(found.factors, 2, x.shape))
     assert np.linalg.norm(rebuilt - values) / np.linalg.norm(values) == pytest.approx(found.errors[-1], abs=1e-5)
