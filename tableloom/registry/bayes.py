@@ -260,13 +260,13 @@ def b15(t):
     return nb.holdout_text(t.documents, marked(t)).select("doc_id", flipped.alias("flipped"))
 
 
-@query("b16_sparse_text_pipeline", SPARSE + """
+@query("b16_sparse_text_holdout", SPARSE + """
 SELECT label, predicted, count(*) AS n FROM result GROUP BY 1, 2""")
 def b16_sparse(t):
     return nb.confusion(nb.holdout_text(t.documents, marked(t)))
 
 
-@query("b16_dense_text_pipeline", DENSE + """
+@query("b16_dense_text_holdout", DENSE + """
 SELECT label, predicted, count(*) AS n FROM result GROUP BY 1, 2""")
 def b16_dense(t):
     return nb.confusion(nb.holdout_text(t.documents, marked(t), dense=True))
@@ -317,14 +317,14 @@ def network_holdout(t, dense):
     return nb.confusion(nb.holdout_text(rows.select("doc_id", "text"), split, dense=dense))
 
 
-@query("b17_sparse_network_pipeline", "WITH " + NETWORK + """
+@query("b17_sparse_network_holdout", "WITH " + NETWORK + """
 cnt AS (SELECT doc_id, label, is_train, token, count(*) AS cnt FROM tok GROUP BY ALL),""" + model_sql(0) + """
 SELECT label, predicted, count(*) AS n FROM result GROUP BY 1, 2""")
 def b17_sparse(t):
     return network_holdout(t, False)
 
 
-@query("b17_dense_network_pipeline", "WITH " + NETWORK + """
+@query("b17_dense_network_holdout", "WITH " + NETWORK + """
 firstword AS (SELECT tk[1] AS w FROM fields ORDER BY doc_id LIMIT 1),
 cnt AS (SELECT doc_id, label, is_train, token, count(*) AS cnt FROM tok WHERE token <> (SELECT w FROM firstword) GROUP BY ALL),""" + model_sql(1) + """
 SELECT label, predicted, count(*) AS n FROM result GROUP BY 1, 2""")
@@ -362,13 +362,13 @@ def embedded(t):
     )
 
 
-@query("b18_numeric_pipeline_embeddings", numeric_sql(EMBEDDED) + "SELECT row_id, label, predicted FROM result")
+@query("b18_numeric_holdout_embeddings", numeric_sql(EMBEDDED) + "SELECT row_id, label, predicted FROM result")
 def b18_embeddings(t):
     done = nb.holdout_numeric(split_exact(embedded(t), "row_id", RATIO, SEED))
     return done.select("row_id", "label", "predicted")
 
 
-@query("b18_numeric_pipeline_lineitem", numeric_sql(LINES) + """
+@query("b18_numeric_holdout_lineitem", numeric_sql(LINES) + """
 SELECT label, predicted, count(*) AS n FROM result GROUP BY 1, 2""")
 def b18_lines(t):
     return nb.confusion(nb.holdout_numeric(split_exact(line_rows(t), "row_id", RATIO, SEED)))
