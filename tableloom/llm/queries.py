@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableloom.llm import partenum
+from tableloom.llm import partenum, suffixes
 from tableloom.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,8 @@ FROM s JOIN r ON s.doc_id = r.x GROUP BY s.doc_id, s.sh
 @query("op4_ngram_jaccard_join", OP4_SQL)
 def op4(t: Tables) -> DataFrame:
     return partenum.near_duplicates(t.documents).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op8_suffix_array_dedup")
+def op8(t: Tables) -> DataFrame:
+    return suffixes.remove_repeats(t.documents)
