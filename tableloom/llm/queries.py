@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tableloom.llm import partenum, suffixes
+from tableloom.llm import packing, partenum, quality, suffixes
+from tableloom.plans.scratch import materialize
 from tableloom.session import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +56,14 @@ def op4(t: Tables) -> DataFrame:
 @query("op8_suffix_array_dedup")
 def op8(t: Tables) -> DataFrame:
     return suffixes.remove_repeats(t.documents)
+
+
+@query("op3_quality_classifier")
+def op3(t: Tables) -> DataFrame:
+    stats = materialize(quality.statistics_table(t.documents))
+    return quality.score_table(stats, quality.fit(stats, t.labels))
+
+
+@query("op10_best_fit_packing")
+def op10(t: Tables) -> DataFrame:
+    return packing.pack(t.documents, public_tokenizers.path("byte_bpe_50k.json"))
