@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tableloom.llm import packing, partenum, quality, suffixes
+from tableloom.llm import bitslice, hilbert, packing, partenum, quality, suffixes
 from tableloom.plans.scratch import materialize
 from tableloom.session import Tables
 
@@ -67,3 +68,27 @@ def op3(t: Tables) -> DataFrame:
 @query("op10_best_fit_packing")
 def op10(t: Tables) -> DataFrame:
     return packing.pack(t.documents, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+OP2_SQL = """
+WITH u AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+         list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM u a JOIN u b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+), r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 20
+"""
+
+
+@query("op2_bit_sliced_top_k", OP2_SQL)
+def op2(t: Tables) -> DataFrame:
+    return bitslice.top_k(t.embeddings, F.col("vec_id") % 20 == 0, 20)
+
+
+@query("op9_hilbert_neighbours")
+def op9(t: Tables) -> DataFrame:
+    return hilbert.nearest(t.embeddings, F.col("vec_id") % 100 == 0, 10)

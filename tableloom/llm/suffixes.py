@@ -481,3 +481,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"),
     )
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` with the repeated bytes cut out of ``text``, and ``n_chars``, if there, counted anew.
+
+    What is left of a character that a cut goes through is dropped.  All rows stay.
+    """
+    own = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    cut = repeats(docs, length).select(F.col("key").alias("_cut_key"), F.col("kept").alias("_cut_kept"))
+    joined = docs.withColumn("_cut_key", own).join(cut, "_cut_key", "left")
+    whole = F.make_valid_utf8(F.col("_cut_kept").cast("string"))
+    clean = F.when(F.contains("text", F.lit("�")), whole).otherwise(F.translate(whole, "�", ""))
+    text = F.when(F.col("_cut_kept").isNull(), F.col("text")).otherwise(clean)
+    out = {"text": text}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out["n_chars"] = F.when(F.col("_cut_kept").isNull(), F.col("n_chars")).otherwise(F.length(clean).cast(kind))
+    return joined.withColumns(out).select(*docs.columns)
