@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import bitslice, hilbert, packing, partenum, quality, suffixes
+from tableloom.llm import bitslice, bpe, chat, hilbert, packing, partenum, quality, suffixes, urls
 from tableloom.plans.scratch import materialize
 from tableloom.session import Tables
 
@@ -92,3 +92,69 @@ def op2(t: Tables) -> DataFrame:
 @query("op9_hilbert_neighbours")
 def op9(t: Tables) -> DataFrame:
     return hilbert.nearest(t.embeddings, F.col("vec_id") % 100 == 0, 10)
+
+
+# host rules and a small labelled table, fixed values
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+BLOCKED_URLS = """
+https://casino-win.example.com/en/1/ http://www.casino-win.example.org/de/play?x=1 https://bigcasino.example.com/slots
+https://m.ads-track.example.com/en/8092/ https://ads.example.org/banner http://track.example.com/click?id=7
+https://pixel-track.example.org/i.gif https://adserver.example.com/es/show https://free-win.example.com/prize
+https://win-big.example.org/jackpot https://poker-casino.example.com/ http://bet-now.example.org/odds
+https://xxx-video.example.com/free https://cheap-pills.example.org/buy http://pills-online.example.com/order
+https://loan-fast.example.org/apply https://spam-links.example.com/out https://click-ads.example.com/go
+https://popup-ads.example.org/en/55.html http://casino.example.com/fr/bonus https://lottery-win.example.org/es/7
+https://doubleads.example.com/track https://ads-track.example.org/de/3#top https://m.casino-win.example.com/es/9.html
+""".split()
+ALLOWED_URLS = """
+https://blog.ththnt.example.com/fr/38225/ http://m.ththan.example.org/en/36685/ https://therst.example.com/es/15997?page=2
+https://www.library.example.org/en/catalog https://news.example.com/en/2020/05/story.html http://docs.example.org/guide/
+https://shop.example.com/de/item/41 https://university.example.org/courses https://m.tiontion.example.com/en/14506
+https://blog.tionble.example.com/es/9793#top https://forum.example.org/thread/88 https://recipes.example.com/fr/soup
+https://museum.example.org/en/art http://weather.example.com/today https://code.example.org/project/readme
+https://www.ththes.example.com/en/1346.html https://ththon.example.com/es/4024?ref=x https://m.thther.example.org/de/5151
+https://travel.example.com/es/madrid https://history.example.org/en/rome https://blog.ththre.example.org/en/31
+https://science.example.com/de/physik https://music.example.org/fr/jazz https://ththhe.example.com/en/10945
+""".split()
+
+
+@query("op1_url_filter")
+def op1(t: Tables) -> DataFrame:
+    labelled = t.spark.createDataFrame(
+        [(u, 1) for u in BLOCKED_URLS] + [(u, 0) for u in ALLOWED_URLS], "url string, blocked int"
+    )
+    judged = urls.judge(t.pages.select("page_id", "url"), URL_RULES, labelled)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+_ESC = r"regexp_replace(replace(coalesce({0}, ''), '\', '\\'), '([<\[])(/?s>|image>|audio>|document>|/?ROLE\]|/?INST\])', '\1\\\2', 'g')"
+OP5_SQL = rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), f AS (
+  SELECT *, '<s>[ROLE]' || {_ESC.format('role')} || '[/ROLE]' || CASE WHEN role = 'user' THEN '[INST] ' ELSE '' END
+    || {_ESC.format('text')} || CASE WHEN role = 'user' THEN ' [/INST]' ELSE '' END || '</s>' AS formatted FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, formatted)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, formatted)) AS loss_sha256,
+  sum(length(formatted))::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
+
+@query("op5_chat_formatting", OP5_SQL)
+def op5(t: Tables) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    added = t.spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = t.conversations.select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.conversation_digests(chat.format_turns(rows))
+
+
+@query("op6_bpe_encoding")
+def op6(t: Tables) -> DataFrame:
+    encoded = bpe.encode(t.documents, public_tokenizers.path("word_bpe_49k.json"))
+    sha = [F.sha2(F.encode(c, "UTF-8"), 256).alias(f"{c}_sha256") for c in ("ids", "decoded")]
+    return encoded.select("doc_id", "n_tokens", *sha)
