@@ -94,6 +94,15 @@ def utf8_blocks(column: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, i
         first = end
 
 
+# bytes of rows that Spark hands to Python at a time
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hold Arrow batches to ``BATCH_BYTES``: texts are long, and both sides buffer whole batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -35,15 +35,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableloom.llm.common import (
-    U, byte_values, fingerprint, from_planes, partitions, planes, powers, prefix_sums, signed, unsigned, utf8_blocks,
+    U, byte_values, fingerprint, from_planes, partitions, planes, powers, prefix_sums, signed, small_batches, unsigned,
+    utf8_blocks,
 )
 from tableloom.plans.scratch import discard, materialize
 
 LENGTH = 200
 GRAM = 96
 # entries a task packs at a time, bytes of a block of texts
-FLUSH = 1 << 19
-BLOCK = 1 << 20
+FLUSH = 1 << 18
+BLOCK = 1 << 19
 # sampled suffixes per bucket, for the splitters
 SAMPLE = 64
 
@@ -86,19 +87,44 @@ def runs_of(block: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     return text, number, anchor[first], start[first], start[last], sums
 
 
-def _rows_by_key(key: np.ndarray, number: np.ndarray, state: np.ndarray, names: list[str]) -> pa.RecordBatch:
-    """One row per key with its packed numbers and states."""
-    order = np.argsort(key, kind="stable")
-    key, number, state = key[order], number[order].astype("<u4"), state[order].astype(np.uint8)
-    cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    ends = np.append(cut[1:], len(key))
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(signed(key[cut])), pa.array([number[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary()),
-            pa.array([state[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary()),
-        ],
-        names,
-    )
+# states of runs or windows, packed by a hash of the text's key, and then by the key
+BY_HASH = "part int, keys binary, numbers binary, states binary"
+BY_KEY = "key long, numbers binary, states binary"
+
+
+def _by_hash(key: np.ndarray, number: np.ndarray, state: np.ndarray, parts: int) -> pa.Table:
+    """Rows of :data:`BY_HASH`; sorted by key, so that keys compress."""
+    part = ((key >> U(20)) % U(parts)).astype(np.int64)
+    order = np.lexsort((number, key, part))
+    key, number, state, part = key[order], number[order].astype("<u4"), state[order].astype(np.uint8), part[order]
+    edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+    spans = list(zip(edges[:-1], edges[1:]))
+    columns = [[x[a:b].tobytes() for a, b in spans] for x in (key, number, state)]
+    return pa.table({
+        "part": pa.array([int(part[a]) for a, _ in spans], pa.int32()),
+        **{n: pa.array(c, pa.binary()) for n, c in zip(("keys", "numbers", "states"), columns)},
+    })
+
+
+def _by_key(packed: DataFrame) -> DataFrame:
+    """One row per key with all its numbers and states, from rows of :data:`BY_HASH`."""
+
+    def rows(table: pa.Table) -> pa.Table:
+        key, number, state = (
+            np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=kind)
+            for c, kind in (("keys", U), ("numbers", "<u4"), ("states", np.uint8))
+        )
+        order = np.argsort(key, kind="stable")
+        key, number, state = key[order], number[order], state[order]
+        first = np.flatnonzero(_first_of([key])) if len(key) else np.zeros(0, np.int64)
+        spans = list(zip(first, np.append(first[1:], len(key))))
+        return pa.table({
+            "key": pa.array(signed(key[first])),
+            "numbers": pa.array([number[a:b].tobytes() for a, b in spans], pa.binary()),
+            "states": pa.array([state[a:b].tobytes() for a, b in spans], pa.binary()),
+        })
+
+    return packed.groupBy("part").applyInArrow(rows, BY_KEY)
 
 
 # local is true for rows that a task has settled itself: (key, numbers, states) in a, b, c
@@ -197,10 +223,7 @@ def run_entries(texts: DataFrame, buckets: int, length: int, gram: int) -> DataF
     return texts.select("key", "text").mapInArrow(rows, PACKED)
 
 
-STATES = "key long, numbers binary, states binary"
-
-
-def run_states(entries: DataFrame) -> DataFrame:
+def run_states(entries: DataFrame, spread: int) -> DataFrame:
     """(key, numbers, states) of the runs that are repeated or open; the others' windows are unique."""
 
     def rows(table: pa.Table) -> pa.Table:
@@ -237,10 +260,9 @@ def run_states(entries: DataFrame) -> DataFrame:
             states.append(state[keep])
         if not keys:
             keys, numbers, states = [np.zeros(0, dtype=U)], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint8)]
-        out = _rows_by_key(np.concatenate(keys), np.concatenate(numbers), np.concatenate(states), ["key", "numbers", "states"])
-        return pa.Table.from_batches([out])
+        return _by_hash(np.concatenate(keys), np.concatenate(numbers), np.concatenate(states), spread)
 
-    return entries.groupBy("bucket").applyInArrow(rows, STATES)
+    return _by_key(entries.groupBy("bucket").applyInArrow(rows, BY_HASH))
 
 
 OPEN_TEXT = "key long, text string, repeated binary, open binary"
@@ -257,8 +279,8 @@ def open_texts(texts: DataFrame, states: DataFrame, length: int, gram: int) -> D
                 begin = np.searchsorted(text, np.arange(end - first + 1))
                 repeated, open_ = [], []
                 for i in range(end - first):
-                    at = np.frombuffer(b"".join(numbers[first + i]), dtype="<u4").astype(np.int64) + begin[i]
-                    state = np.frombuffer(b"".join(states[first + i]), dtype=np.uint8)
+                    at = np.frombuffer(numbers[first + i], dtype="<u4").astype(np.int64) + begin[i]
+                    state = np.frombuffer(states[first + i], dtype=np.uint8)
                     for out, bit in ((repeated, REPEATED), (open_, OPEN)):
                         runs = np.unique(at[(state & bit) > 0])
                         both = np.stack([low[runs], high[runs]], axis=1) - offsets[i]
@@ -272,8 +294,7 @@ def open_texts(texts: DataFrame, states: DataFrame, length: int, gram: int) -> D
                     ["key", "text", "repeated", "open"],
                 )
 
-    lists = states.groupBy("key").agg(F.collect_list("numbers").alias("numbers"), F.collect_list("states").alias("states"))
-    return texts.join(lists, "key").select("key", "text", "numbers", "states").mapInArrow(rows, OPEN_TEXT)
+    return texts.join(states, "key").select("key", "text", "numbers", "states").mapInArrow(rows, OPEN_TEXT)
 
 
 def _windows(batches: Iterator[pa.RecordBatch], length: int):
@@ -372,8 +393,8 @@ def multikey_order(words: list[np.ndarray]) -> np.ndarray:
     return order
 
 
-def repeated_starts(entries: DataFrame) -> DataFrame:
-    """(key, numbers, states): starts of the windows that are found at another place too."""
+def repeated_starts(entries: DataFrame, spread: int) -> DataFrame:
+    """(key, numbers): starts of the windows that are found at another place too."""
 
     def rows(table: pa.Table) -> pa.Table:
         keys, starts, parts = [np.zeros(0, dtype=U)], [np.zeros(0, dtype=np.int64)], []
@@ -399,10 +420,9 @@ def repeated_starts(entries: DataFrame) -> DataFrame:
             keys.append(columns[2][keep])
             starts.append(columns[3][keep])
         key, start = np.concatenate(keys), np.concatenate(starts)
-        out = _rows_by_key(key, start, np.ones(len(key)), ["key", "numbers", "states"])
-        return pa.Table.from_batches([out])
+        return _by_hash(key, start, np.ones(len(key)), spread)
 
-    return entries.groupBy("bucket").applyInArrow(rows, STATES).drop("states")
+    return _by_key(entries.groupBy("bucket").applyInArrow(rows, BY_HASH)).drop("states")
 
 
 KEPT = "key long, n_removed long, n_spans long, kept binary"
@@ -420,7 +440,7 @@ def cut_texts(opened: DataFrame, starts: DataFrame, length: int) -> DataFrame:
                 runs = np.frombuffer(runs, dtype="<i8").reshape(-1, 2)
                 np.add.at(depth, runs[:, 0], 1)
                 np.add.at(depth, runs[:, 1] + length, -1)
-                single = np.frombuffer(b"".join(more or []), dtype="<u4").astype(np.int64)
+                single = np.frombuffer(more or b"", dtype="<u4").astype(np.int64)
                 np.add.at(depth, single, 1)
                 np.add.at(depth, single + length, -1)
                 gone = np.cumsum(depth)[: len(data)] > 0
@@ -434,8 +454,7 @@ def cut_texts(opened: DataFrame, starts: DataFrame, length: int) -> DataFrame:
                 ["key", "n_removed", "n_spans", "kept"],
             )
 
-    lists = starts.groupBy("key").agg(F.collect_list("numbers").alias("numbers"))
-    joined = opened.select("key", "text", "repeated").join(lists, "key", "left")
+    joined = opened.select("key", "text", "repeated").join(starts, "key", "left")
     return joined.select("key", "text", "repeated", "numbers").mapInArrow(rows, KEPT)
 
 
@@ -449,18 +468,19 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int | None = None) -> D
     """(key, n_removed, n_spans, kept) for each different text that loses bytes; ``key`` as in :func:`with_key`."""
     gram = GRAM if gram is None and length == LENGTH else gram or max(1, length // 2)
     spark = docs.sparkSession
+    small_batches(spark)
     buckets = 2 * partitions(spark)
     # equal texts: one of them goes on, named by its row's id and text
     texts = with_key(docs.select("doc_id", "text")).where(F.octet_length("text") >= length)
     texts = texts.select(F.coalesce(F.col("doc_id").cast("long"), "key").alias("row"), "key", "text")
     kinds = materialize(texts.groupBy("key").agg(F.count("*").alias("copies"), F.min("row").alias("row"), F.first(F.octet_length("text")).alias("n")))
-    states = materialize(run_states(run_entries(texts, buckets, length, gram)))
-    chosen = kinds.select("key", "row").join(states.select("key").distinct(), "key", "left_semi")
+    states = materialize(run_states(run_entries(texts, buckets, length, gram), buckets))
+    chosen = kinds.select("key", "row").join(states.select("key"), "key", "left_semi")
     one = texts.join(chosen, ["row", "key"]).select("key", "text")
     opened = materialize(open_texts(one, states, length, gram))
     discard(states)
     cuts = splitters(opened, buckets, length)
-    starts = repeated_starts(suffix_entries(opened, cuts, length))
+    starts = repeated_starts(suffix_entries(opened, cuts, length), buckets)
     kept = materialize(cut_texts(opened, starts, length))
     discard(opened)
     alone = kept.join(kinds.where("copies = 1"), "key", "left_semi")
