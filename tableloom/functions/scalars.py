@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 
 
 def floor_divide(a: Column, b: Column | int) -> Column:
-    """Integer division that rounds down for negative numbers too."""
-    b = b if isinstance(b, Column) else F.lit(b)
-    return ((a - F.pmod(a, b)) / b).cast("bigint")
+    """Integer division that rounds down for negative numbers too, in whole numbers throughout."""
+    a, b = a.cast("bigint"), (b if isinstance(b, Column) else F.lit(b)).cast("bigint")
+    quotient = F.call_function("div", a, b)
+    return F.when((a % b != 0) & ((a < 0) != (b < 0)), quotient - 1).otherwise(quotient)
 
 
 def divmod_columns(a: Column, b: int) -> tuple[Column, Column]:
-    return floor_divide(a, b), F.pmod(a, F.lit(b))
+    """Quotient rounded down, and the remainder with the divisor's sign."""
+    quotient = floor_divide(a, b)
+    return quotient, a - quotient * F.lit(b)
 
 
 def clock(seconds: Column) -> Column:

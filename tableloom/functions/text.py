@@ -85,7 +85,7 @@ def from_codes(codes: Column) -> Column:
 def last_number(text: Column) -> Column:
     """The last run of digits as an integer, NULL when there is none."""
     found = F.regexp_extract_all(text, F.lit("([0-9]+)"), F.lit(1))
-    return F.try_element_at(found, F.lit(-1)).try_cast("int")
+    return F.try_element_at(found, F.lit(-1)).try_cast("bigint")
 
 
 def network_tokens(ip: Column, address: Column, message_id: Column) -> Column:

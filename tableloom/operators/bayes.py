@@ -164,7 +164,7 @@ def class_scores(
 def best_class(scores: DataFrame, doc: str = "doc_id") -> DataFrame:
     """``(doc, predicted)``: the class of the largest score, the smallest label on ties."""
     best = scores.groupBy(doc).agg(
-        F.min(F.struct((-F.col("score")).alias("s"), F.col("label").alias("l"))).alias("_b")
+        F.min(F.struct(F.col("score").isNull().alias("n"), (-F.col("score")).alias("s"), F.col("label").alias("l"))).alias("_b")
     )
     return best.select(doc, F.col("_b.l").alias("predicted"))
 

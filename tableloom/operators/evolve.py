@@ -138,7 +138,7 @@ def roulette_statistics(population: DataFrame) -> DataFrame:
 def best(population: DataFrame) -> DataFrame:
     """The best individual of every deme, smallest id on ties."""
     top = population.groupBy("deme").agg(
-        F.min(F.struct((-F.col("fitness")).alias("f"), "ind_id", "genes")).alias("_b")
+        F.min(F.struct(F.col("fitness").isNull().alias("n"), (-F.col("fitness")).alias("f"), "ind_id", "genes")).alias("_b")
     )
     return top.select(
         "deme", F.col("_b.ind_id").alias("ind_id"), F.col("_b.genes").alias("genes"), (-F.col("_b.f")).alias("fitness")

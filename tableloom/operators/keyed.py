@@ -39,8 +39,12 @@ def map_partitions(
 
 
 def pipe_lines(df: DataFrame, line: Column, command: str, name: str = "line") -> DataFrame:
-    """Send one text line per row through an external program, one output line each."""
-    lines = df.select(line.alias("_l")).rdd.map(lambda row: row["_l"])
+    """Send one text line per row through an external program, one output line each.
+
+    A value with a line end in it would become two lines and is an error.
+    """
+    whole = F.when(line.rlike(r"[\r\n]"), F.raise_error(F.lit("a value holds a line end"))).otherwise(line)
+    lines = df.select(whole.alias("_l")).rdd.map(lambda row: row["_l"])
     return df.sparkSession.createDataFrame(
         lines.pipe(command, checkCode=True).map(lambda out: (out,)), f"{name} string"
     )
@@ -93,7 +97,13 @@ def cogroup(
     """Both value lists per key, in chunks: ``(key, chunk, left_items, right_items)``."""
     a = group_values(left, key, left_value, chunk).withColumnRenamed("items", "left_items")
     b = group_values(right, key, right_value, chunk).withColumnRenamed("items", "right_items")
-    return a.join(b, [key, "chunk"], "full")
+    # a NULL key meets a NULL key
+    same = F.col("_a.k").eqNullSafe(F.col("_b.k")) & (F.col("_a.chunk") == F.col("_b.chunk"))
+    a = a.withColumnRenamed(key, "k").alias("_a")
+    b = b.withColumnRenamed(key, "k").alias("_b")
+    return a.join(b, same, "full").select(
+        F.coalesce("_a.k", "_b.k").alias(key), F.coalesce("_a.chunk", "_b.chunk").alias("chunk"), "left_items", "right_items"
+    )
 
 
 def product_with_bounded(left: DataFrame, right: DataFrame, max_rows: int = 1000) -> DataFrame:
@@ -308,8 +318,9 @@ def bottom_k(df: DataFrame, by: Column, id_col: str, k: int) -> DataFrame:
 def best_by_key(df: DataFrame, key: str, by: str, id_col: str) -> DataFrame:
     """The row of largest ``by`` per key, smallest id on ties; an aggregate, not a window."""
     rest = [c for c in df.columns if c not in (key, by, id_col)]
+    # a NULL is worse than every value
     best = df.groupBy(key).agg(
-        F.min(F.struct((-F.col(by)).alias("_b"), F.col(id_col).alias("_i"), *[F.col(c) for c in rest])).alias("_m")
+        F.min(F.struct(F.col(by).isNull().alias("_n"), (-F.col(by)).alias("_b"), F.col(id_col).alias("_i"), *[F.col(c) for c in rest])).alias("_m")
     )
     return best.select(
         key, F.col("_m._i").alias(id_col), (-F.col("_m._b")).alias(by), *[F.col("_m")[c].alias(c) for c in rest]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableloom.functions.draws import draw, draw_below
+from tableloom.functions.draws import BITS, draw, draw_below
 from tableloom.plans.ordered import OrderedRows
 from tableloom.plans.skew import join_small
 
@@ -23,15 +23,17 @@ def shuffled(df: DataFrame, id_col: str, seed: int, keys: Sequence[str] = (), na
 def split_exact(df: DataFrame, id_col: str, ratio: float, seed: int, name: str = "is_train") -> DataFrame:
     """Mark exactly ``int(n * ratio)`` random rows: those with the smallest draws.
 
-    The last marked draw is found by counting draws by their high and then their
-    low 16 bits, two aggregations of at most 65,536 rows each.  The mark itself
-    is a comparison inside the row, so the table is neither sorted nor moved.
+    The last marked draw is found by counting draws by their first 16 and then
+    their next 16 bits, two aggregations of at most 65,536 rows each; the few
+    rows that agree in both are sorted.  The mark itself is a comparison inside
+    the row, so the table is neither sorted nor moved.
     """
     drawn = draw(seed, "split", F.col(id_col))
     wanted = None
+    top = F.shiftright(drawn, BITS - 32)
     low_bits, chosen = 16, F.lit(True)
     at = 0
-    for level, bucket in enumerate((F.shiftright(drawn, low_bits), drawn % (1 << low_bits))):
+    for level, bucket in enumerate((F.shiftright(top, low_bits), top % (1 << low_bits))):
         sizes = df.where(chosen).groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect()
         if wanted is None:
             wanted = int(sum(r["n"] for r in sizes) * ratio)
@@ -42,10 +44,11 @@ def split_exact(df: DataFrame, id_col: str, ratio: float, seed: int, name: str =
                 at = (at << low_bits) + row["b"]
                 break
             wanted -= row["n"]
-        chosen = (F.shiftright(drawn, low_bits) == at) if level == 0 else (drawn == at)
-    # equal draws are a handful of rows; the id decides among them
-    last = df.where(chosen).orderBy(id_col).select(id_col).limit(wanted).agg(F.max(id_col)).first()[0]
-    marked = (drawn < at) | ((drawn == at) & (F.col(id_col) <= F.lit(last)))
+        chosen = (F.shiftright(top, low_bits) == at) if level == 0 else (top == at)
+    # what agrees in 32 bits is a handful of rows; the id decides among equal draws
+    few = df.where(chosen).select(drawn.alias("d"), F.col(id_col).alias("i")).orderBy("d", "i").limit(wanted)
+    last = few.agg(F.max(F.struct("d", "i")).alias("m")).first().m
+    marked = (drawn < last.d) | ((drawn == last.d) & (F.col(id_col) <= F.lit(last.i)))
     return df.withColumn(name, marked)
 
 

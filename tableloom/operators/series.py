@@ -31,7 +31,11 @@ def moving_value(
     def smooth(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values("_mid", kind="stable")
         if keys:
-            piece = block[keys].ne(block[keys].shift()).any(axis=1).cumsum()
+            above = block[keys].shift()
+            # two NULL keys are the same key
+            differs = block[keys].ne(above) & ~(block[keys].isna() & above.isna())
+            differs.iloc[0] = True
+            piece = differs.any(axis=1).cumsum()
         else:
             piece = pd.Series(1, index=block.index)
         by = block.groupby(piece, sort=False)[value]

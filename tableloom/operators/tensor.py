@@ -20,12 +20,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableloom.functions.scalars import floor_divide
 from tableloom.functions.draws import draw_normal, draw_unit
 from tableloom.plans.scratch import discard, materialize
 from tableloom.plans.skew import join_small, skew_join
 
 # Largest matrix side that may be solved on the driver.
 SOLVE_LIMIT = 4096
+# above so many rank combinations arrays are summed instead of single expressions; numbers a task holds for that
+WIDE = 200
+BUFFER = 1 << 22
 # Most numbers of a matrix that may be broadcast.
 CARRY_LIMIT = 4_000_000
 
@@ -62,7 +66,7 @@ def _flat(names: Sequence[str], shape: Sequence[int]) -> Column:
 
 def _unflat(flat: Column, shape: Sequence[int]) -> list[Column]:
     return [
-        (F.floor(flat / s) % size).cast("bigint") for size, s in zip(shape, _strides(shape))
+        F.pmod(floor_divide(flat, s), F.lit(size)) for size, s in zip(shape, _strides(shape))
     ]
 
 
@@ -410,6 +414,8 @@ def _projected(x: Tensor, factors: Sequence[DataFrame], ranks: Sequence[int], mo
     met = _with_factors(
         x.cells, {n: factors[n] for n in rest}, {n: s * r for n, (s, r) in enumerate(zip(x.shape, ranks))}
     )
+    if prod(ranks[n] for n in rest) > WIDE:
+        return _projected_wide(met, rest, ranks, mode)
     combos = list(product(*[range(ranks[n]) for n in rest]))
     sums = [
         F.expr(f"sum({_product(list(zip(rest, combo)), 'value')}) AS s{k}") for k, combo in enumerate(combos)
@@ -418,10 +424,73 @@ def _projected(x: Tensor, factors: Sequence[DataFrame], ranks: Sequence[int], mo
     return rows.select("row", F.expr(f"array({', '.join(f's{k}' for k in range(len(combos)))}) AS f"))
 
 
+def _projected_wide(met: DataFrame, rest: Sequence[int], ranks: Sequence[int], mode: int) -> DataFrame:
+    """The same for many rank combinations: arrays are summed in the tasks, and then per row."""
+    side = prod(ranks[n] for n in rest)
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for whole in batches:
+            for start in range(0, len(whole), max(1, BUFFER // side)):
+                batch = whole.iloc[start : start + max(1, BUFFER // side)]
+                out = batch["value"].to_numpy(float)[:, None]
+                for n in rest:
+                    out = (out[:, :, None] * _stack(batch[f"f{n}"])[:, None, :]).reshape(len(batch), -1)
+                row = batch["row"].to_numpy()
+                order = np.argsort(row, kind="stable")
+                first = np.flatnonzero(np.diff(row[order], prepend=row[order[0]] - 1))
+                for r, v in zip(row[order][first], np.add.reduceat(out[order], first, axis=0)):
+                    sums[r] = sums[r] + v if r in sums else v
+                if len(sums) * side > BUFFER:
+                    yield pd.DataFrame({"row": list(sums), "f": list(sums.values())})
+                    sums = {}
+        if sums:
+            yield pd.DataFrame({"row": list(sums), "f": list(sums.values())})
+
+    def whole_row(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"row": [key[0]], "f": [_stack(parts["f"]).sum(axis=0)]})
+
+    cells = met.select(F.col(index(mode)).cast("bigint").alias("row"), F.col("value").cast("double"), *[f"f{n}" for n in rest])
+    schema = "row bigint, f array<double>"
+    return cells.mapInPandas(partial, schema).groupBy("row").applyInPandas(whole_row, schema)
+
+
+def _leading(y: DataFrame, rows: int, side: int, rank: int, spark: SparkSession) -> tuple[DataFrame, np.ndarray]:
+    """The leading left singular vectors of the unfolding ``y`` as a factor, and their part of the core.
+
+    The smaller of rows and side is solved for: few rows come to the driver as
+    they are, many are summed to the Gram matrix of their columns.
+    """
+    core = np.zeros((rank, side))
+    if rows <= side:
+        if rows > SOLVE_LIMIT or rows * side > SOLVE_LIMIT * SOLVE_LIMIT:
+            raise ValueError(f"a {rows} x {side} matrix is too large for the driver")
+        whole = np.zeros((rows, side))
+        for r in y.collect():
+            whole[r["row"]] = r["f"]
+        left, sigma, right = np.linalg.svd(whole, full_matrices=False)
+        n = min(rank, len(sigma))
+        factor = np.zeros((rows, rank))
+        factor[:, :n] = left[:, :n]
+        core[:n] = sigma[:n, None] * right[:n]
+        table = spark.createDataFrame([(i, f.tolist()) for i, f in enumerate(factor)], "row bigint, f array<double>")
+        return table, core
+    values, vectors = np.linalg.eigh(gram(y, side))
+    top = np.argsort(values)[::-1][:rank]
+    sigma = np.sqrt(np.maximum(values[top], 0.0))
+    keep = sigma > 1e-12 * max(sigma.max(), 1e-300)
+    inverse = np.where(keep, 1.0 / np.where(keep, sigma, 1.0), 0.0)
+    padded = np.zeros((side, rank))
+    padded[:, : len(top)] = vectors[:, top] * inverse
+    core[: len(top)] = (vectors[:, top] * np.where(keep, sigma, 0.0)).T
+    return times(y, padded), core
+
+
 def tucker(x: Tensor, ranks: Sequence[int], sweeps: int = 50, tol: float = 1e-6, seed: int = 64) -> Decomposition:
     """Tucker by higher-order orthogonal iteration.
 
-    The eigen-problem of a mode has the side of the product of the other ranks.
+    The problem solved for a mode has the side of its size or of the product of
+    the other ranks, whichever is smaller.
     The core follows from the last one: ``U^T Y = S V^T``.
     """
     spark = x.cells.sparkSession
@@ -436,16 +505,7 @@ def tucker(x: Tensor, ranks: Sequence[int], sweeps: int = 50, tol: float = 1e-6,
             y = materialize(_projected(x, factors, ranks, mode))
             discard(projections[mode])
             projections[mode] = y
-            values, vectors = np.linalg.eigh(gram(y, side))
-            top = np.argsort(values)[::-1][: ranks[mode]]
-            sigma = np.sqrt(np.maximum(values[top], 0.0))
-            keep = sigma > 1e-12 * max(sigma.max(), 1e-300)
-            inverse = np.where(keep, 1.0 / np.where(keep, sigma, 1.0), 0.0)
-            padded = np.zeros((side, ranks[mode]))
-            padded[:, : len(top)] = vectors[:, top] * inverse
-            factors[mode] = times(y, padded)
-            core = np.zeros((ranks[mode], side))
-            core[: len(top)] = (vectors[:, top] * np.where(keep, sigma, 0.0)).T
+            factors[mode], core = _leading(y, x.shape[mode], side, ranks[mode], spark)
         errors.append(float(np.sqrt(max(size - float(np.sum(core * core)), 0.0) / size)))
         if len(errors) > 1 and abs(errors[-2] - errors[-1]) < tol:
             break

@@ -29,7 +29,12 @@ def query(name: str, sql: str | None = None):
 def sql_draw(seed: int, *parts: str) -> str:
     """The SQL text of :func:`tableloom.functions.draws.draw`; ``parts`` are SQL expressions."""
     args = ", ".join([f"'{seed}'"] + [f"CAST({p} AS VARCHAR)" for p in parts])
-    return f"CAST(('0x' || substr(md5(concat_ws(':', {args})), 1, 8)) AS BIGINT)"
+    return f"CAST(('0x' || substr(md5(concat_ws(':', {args})), 1, 15)) AS BIGINT)"
+
+
+def sql_unit(draw: str, plus: int = 0) -> str:
+    """The SQL text of a double in [0, 1) made of the first 52 bits of a draw."""
+    return f"((({draw}) >> 8) + {plus}) / CAST(4503599627370496 AS DOUBLE)"
 
 
 def load_all() -> None:

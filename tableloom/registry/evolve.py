@@ -11,7 +11,7 @@ from tableloom.operators import evolve as ev
 from tableloom.plans.ordered import numbered
 from tableloom.plans.scratch import materialize
 from tableloom.plans.skew import join_small
-from tableloom.registry import query, sql_draw
+from tableloom.registry import query, sql_draw, sql_unit
 
 SEED = 64
 L = 24
@@ -36,7 +36,7 @@ def scored_sql(source: str, name: str, fitness: str) -> str:
 
 
 def unit_sql(*parts: str) -> str:
-    return f"({sql_draw(SEED, *parts)} / CAST(4294967296 AS DOUBLE))"
+    return f"({sql_unit(sql_draw(SEED, *parts))})"
 
 
 def shuffle_sql(source: str, name: str, gen: int, seed: int = SEED) -> str:
@@ -94,7 +94,7 @@ def who_draw(gen: int, step: str, *more: str) -> str:
 
 
 def who_unit(gen: int, step: str, *more: str) -> str:
-    return f"({who_draw(gen, step, *more)} / CAST(4294967296 AS DOUBLE))"
+    return f"({sql_unit(who_draw(gen, step, *more))})"
 
 
 def flip_sql(source: str, name: str, gen: int) -> str:
@@ -153,7 +153,7 @@ def roulette_sql(source: str, name: str, gen: int) -> str:
     point = sql_draw(SEED, f"{gen}", "'roulette'", "deme", "rn")
     return f"""{name}_p AS (SELECT deme, ind_id, fitness, row_number() OVER w AS rn, sum(fitness) OVER w - fitness AS starts,
   sum(fitness) OVER (PARTITION BY deme) AS total FROM {source} WINDOW w AS (PARTITION BY deme ORDER BY ind_id)),
-{name}_x AS (SELECT deme, rn AS slot, {point} / CAST(4294967296 AS DOUBLE) * total AS at FROM {name}_p),
+{name}_x AS (SELECT deme, rn AS slot, {sql_unit(point)} * total AS at FROM {name}_p),
 {name}_r AS (SELECT x.deme, x.slot, p.ind_id, row_number() OVER (PARTITION BY x.deme, x.slot ORDER BY p.starts DESC, p.rn DESC) AS k
   FROM {name}_x x JOIN {name}_p p ON x.deme = p.deme AND p.starts <= x.at),
 {name} AS (SELECT r.deme, r.slot, r.ind_id, s.genes, s.fitness FROM {name}_r r JOIN {source} s USING (deme, ind_id) WHERE k = 1)"""

@@ -7,8 +7,9 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
+from tableloom.functions.scalars import FLOWER_CLASSES
 from tableloom.plans import placement
-from tableloom.plans.scratch import scratch_path
+from tableloom.plans.scratch import materialize, scratch_path
 from tableloom.plans.skew import row_count_up_to
 from tableloom.registry import query
 from tableloom.sources import catalog, readers, writers
@@ -121,6 +122,16 @@ def s12(t):
     return readers.mail_log(t.spark, written(t, "csv", writers.csv_rows, rows, header=False))
 
 
+@query("s14_class_name_csv", """
+SELECT l_quantity, l_tax, CAST(strpos('ANR', l_returnflag) - 1 AS INTEGER) AS label FROM lineitem""")
+def s14_csv(t):
+    """Numbers with a class name last, written as CSV and scanned with the names' codes."""
+    names = F.create_map(*[F.lit(x) for pair in zip("ANR", FLOWER_CLASSES) for x in pair])
+    rows = t.lineitem.select("l_quantity", "l_tax", names[F.col("l_returnflag")].alias("species"))
+    path = written(t, "csv", writers.csv_rows, rows, header=False)
+    return readers.flower_rows(t.spark, path, ("l_quantity", "l_tax"))
+
+
 NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
@@ -196,8 +207,8 @@ def l1_streaming(t):
     t.events.select("event_id", "event_type").repartition(4).write.parquet(inbox)
     arriving = packets.packet_stream(t.spark, inbox, "event_id bigint, event_type string", files_per_trigger=2)
     counted = packets.running_frequency(arriving, F.col("event_type"))
-    packets.count_until_done(counted, scratch_path(t.spark, "checkpoint"), out, timeout=120)
-    return t.spark.read.schema("name string, cnt bigint").parquet(out)
+    last = packets.count_until_done(counted, scratch_path(t.spark, "checkpoint"), out)
+    return t.spark.read.schema("name string, cnt bigint").parquet(last)
 
 
 # ---- catalog ---------------------------------------------------------------
@@ -355,7 +366,8 @@ def x5(t):
     try:
         counts = held.groupBy("event_type").agg(F.count("*").alias("n"))
         means = held.groupBy("event_type").agg(F.round(F.avg("value"), 6).alias("mean"))
-        return counts.join(means, "event_type")
+        # both aggregates run while the table is held
+        return materialize(counts.join(means, "event_type"))
     finally:
         held.unpersist()
 

@@ -99,7 +99,7 @@ def f10(t):
 
 
 @query("f11_last_number", """
-SELECT page_id, CAST(list_extract(regexp_extract_all(url, '[0-9]+'), -1) AS INTEGER) AS num FROM pages""")
+SELECT page_id, CAST(list_extract(regexp_extract_all(url, '[0-9]+'), -1) AS BIGINT) AS num FROM pages""")
 def f11(t):
     return t.pages.select("page_id", tx.last_number(F.col("url")).alias("num"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tableloom.functions.draws import draw_unit
 from tableloom.operators import tensor as tn
 from tableloom.plans.scratch import materialize
-from tableloom.registry import query, sql_draw
+from tableloom.registry import query, sql_draw, sql_unit
 
 SEED = 64
 H = W = 8
@@ -46,7 +46,7 @@ def rounded(x, digits=9):
 
 
 def unit(*parts: str) -> str:
-    return f"({sql_draw(SEED, *parts)} / CAST(4294967296 AS DOUBLE))"
+    return f"({sql_unit(sql_draw(SEED, *parts))})"
 
 
 def factor_sql(name: str, mode: int, size: str, rank: int) -> str:
@@ -208,6 +208,25 @@ def t13(t):
     return t.spark.createDataFrame(rows, "sweep int, error double")
 
 
+COUNTS = """
+SELECT CAST(strpos('ANR', l_returnflag) - 1 AS BIGINT) AS i0, CAST(strpos('FO', l_linestatus) - 1 AS BIGINT) AS i1,
+       CAST(month(l_shipdate) - 1 AS BIGINT) AS i2, CAST(count(*) AS DOUBLE) AS value FROM lineitem GROUP BY 1, 2, 3"""
+
+
+@query("t13_tucker_of_full_ranks", COUNTS)
+def t13_full(t):
+    """Full ranks give back the cells of a tensor of counts."""
+    at = [
+        F.instr(F.lit("ANR"), F.col("l_returnflag")) - 1, F.instr(F.lit("FO"), F.col("l_linestatus")) - 1, F.month("l_shipdate") - 1
+    ]
+    named = t.lineitem.select(*[c.cast("bigint").alias(f"i{n}") for n, c in enumerate(at)])
+    counts = named.groupBy("i0", "i1", "i2").agg(F.count("*").cast("double").alias("value"))
+    shape = (3, 2, 12)
+    found = tn.tucker(tn.Tensor(materialize(counts), shape), shape)
+    again = tn.tucker_to_tensor(found.core, found.factors, shape).cells
+    return again.select("i0", "i1", "i2", F.round("value", 6).alias("value")).where("value <> 0")
+
+
 @query("t14_parameter_counts", f"""
 WITH {CELLS}, s AS (SELECT max(i0) + 1 AS a, max(i1) + 1 AS b, max(i2) + 1 AS c FROM x)
 SELECT a * b * c AS original, 10 * a + 4 * b + 4 * c AS factors, 160::BIGINT AS core FROM s""")
@@ -310,8 +329,8 @@ def t21(t):
     return rounded(tn.mean_over(vectors(t), 0))
 
 
-NORMAL_U = f"""({sql_draw(SEED, "'cell'", 'i0', 'i1', 'i2', "'u'")} + 1) / CAST(4294967296 AS DOUBLE)"""
-NORMAL_V = f"""{sql_draw(SEED, "'cell'", 'i0', 'i1', 'i2', "'v'")} / CAST(4294967296 AS DOUBLE)"""
+NORMAL_U = sql_unit(sql_draw(SEED, "'cell'", "i0", "i1", "i2", "'u'"), 1)
+NORMAL_V = sql_unit(sql_draw(SEED, "'cell'", "i0", "i1", "i2", "'v'"))
 
 
 @query("t22_random_tensors", f"""

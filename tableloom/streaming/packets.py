@@ -18,15 +18,25 @@ def running_frequency(packets: DataFrame, field: Column, name: str = "name") ->
     return packets.where(present(field)).groupBy(field.alias(name)).agg(F.count("*").alias("cnt"))
 
 
-def count_until_done(frequencies: DataFrame, checkpoint: str, out: str, timeout: int | None = None) -> None:
-    """Count everything that is there and leave the last state as parquet in ``out``."""
+def count_until_done(frequencies: DataFrame, checkpoint: str, out: str) -> str:
+    """Count everything that is there, however long it takes, and name the folder of the last state.
 
-    def store(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+    Every state is written whole below ``out`` under its batch; one that a
+    restart has written already is written over.
+    """
+    written: list[str] = []
+
+    def store(batch: DataFrame, number: int) -> None:
+        path = f"{out}/batch={number}"
+        batch.write.mode("overwrite").parquet(path)
+        written.append(path)
 
     running = (
         frequencies.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).foreachBatch(store).start()
     )
-    running.awaitTermination(timeout)
-    running.stop()
+    # an error of the stream is raised here
+    running.awaitTermination()
+    if not written:
+        raise ValueError("no packets arrived")
+    return written[-1]
