@@ -120,9 +120,8 @@ https://science.example.com/de/physik https://music.example.org/fr/jazz https://
 
 @query("op1_url_filter")
 def op1(t: Tables) -> DataFrame:
-    labelled = t.spark.createDataFrame(
-        [(u, 1) for u in BLOCKED_URLS] + [(u, 0) for u in ALLOWED_URLS], "url string, blocked int"
-    )
+    known = [F.struct(F.lit(u).alias("url"), F.lit(b).alias("blocked")) for b, urls_ in ((1, BLOCKED_URLS), (0, ALLOWED_URLS)) for u in urls_]
+    labelled = t.spark.range(1).select(F.inline(F.array(*known)))
     judged = urls.judge(t.pages.select("page_id", "url"), URL_RULES, labelled)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
