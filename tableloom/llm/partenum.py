@@ -9,12 +9,14 @@ therefore share a signature.  Counting only parts with elements, a set is *cover
 it fills more than |x| / 4 parts.  Sets that are not covered, a matter of chance, also
 give one signature per element; two of them share an element.  So no pair is lost.
 
-A similar pair shares at least as many signatures as x has filled parts beyond |x| / 4.  A
-set with fewer signatures than that in large groups (more than ``LARGE`` different sets,
-such as those around a very common line) shares one in a small group with every set it
-links with, and leaves its large groups.
-
-Candidates are verified on the whole sets.  Within a group of sets that share a
+A similar pair shares at least ``need`` signatures of a band: those of x beyond |x| / 4.  So
+each set may leave the ``need - 1`` largest groups it is in, groups being ordered by size and
+name: the smallest group that a similar pair shares is among what both keep.  Only groups of
+more than ``LARGE`` sets are left, such as those around a very common line.
+
+Candidates first pass an exact bound: every set carries how many of its elements fall into
+each of 256 cells, and the cells' differences of two sets add up to at most the number of
+elements in which they differ.  What passes is verified on the whole sets.  Within a group of sets that share a
 signature no pairs are listed: a first pivot is compared with all others, and further
 pivots only where a group still holds sets of different components (``link_classes``).
 
@@ -31,12 +33,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableloom.llm.common import (
     U, byte_values, components, fingerprint, from_planes, mix, mix_int, partitions, planes, powers, prefix_sums,
-    signed, utf8_blocks,
+    signed, small_batches, utf8_blocks,
 )
 from tableloom.plans.scratch import discard, materialize
 
@@ -47,14 +49,18 @@ NUMERATOR = 80
 SINGLES = 32
 # ratio of the ends of a size band, and parts per element at its upper end
 RATIO = 1.5
-PARTS = 0.35
+PARTS = 0.32
 # a group of more different sets counts as large
-LARGE = 24
+LARGE = 3
 # signature entries that a task packs at a time; pivots per group and round
-FLUSH = 1 << 19
-PIVOTS = 24
+FLUSH = 1 << 18
+PIVOTS = 16
+# bytes of texts that are worked on at a time
+BLOCK = 1 << 19
 # bytes per element of the sets that are compared
 WIDTH = 6
+# cells of the bound
+CELLS = 256
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -167,23 +173,42 @@ def signatures(elements: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.
     return np.concatenate(out_sig), np.concatenate(out_node), np.concatenate(nodes)
 
 
-MEMBER = "doc_id long, n_shingles long, set_key long"
+MEMBER = "doc_id long, text_key long, n_shingles long, set_key long, cells binary"
 
 
 def member_table(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, set_key): a row per document, the key null for an empty set."""
+    """(doc_id, text_key, n_shingles, set_key, cells): a row per document, the set's key null when it is empty."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, block, offsets in utf8_blocks(batch.column(1)):
+            for first, end, block, offsets in utf8_blocks(batch.column(2), BLOCK):
                 elements, begin = shingle_sets(block, offsets, words)
                 n = np.diff(begin)
                 keys = pa.array(signed(set_keys(elements, begin)), mask=n == 0)
+                cell = np.repeat(np.arange(len(n)) * CELLS, n) + ((elements >> U(33)) % U(CELLS)).astype(np.int64)
+                cells = np.minimum(np.bincount(cell, minlength=len(n) * CELLS), 255).astype(np.uint8).reshape(-1, CELLS)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, end - first), pa.array(n), keys], ["doc_id", "n_shingles", "set_key"]
+                    [
+                        *(batch.column(i).slice(first, end - first) for i in (0, 1)), pa.array(n), keys,
+                        pa.array([c.tobytes() for c in cells], pa.binary()),
+                    ],
+                    ["doc_id", "text_key", "n_shingles", "set_key", "cells"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(rows, MEMBER)
+    return _identified(docs).select("doc_id", "text_key", "text").mapInArrow(rows, MEMBER)
+
+
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def _identified(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, row, text); ``row`` names a row also when it has no id."""
+    text_key = _text_key(F.col("text"))
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(
+        doc_id.alias("doc_id"), text_key.alias("text_key"), F.coalesce(doc_id, text_key).alias("row"), F.col("text").cast("string").alias("text")
+    )
 
 
 ENTRY = "bucket int, sigs binary, places binary, nodes binary"
@@ -214,7 +239,7 @@ def signature_entries(docs: DataFrame, buckets: int, words: int = WORDS) -> Data
         sigs, places, nodes, held, n_nodes = [], [], [], 0, 0
         seen: set[int] = set()
         for batch in batches:
-            for _, _, block, offsets in utf8_blocks(batch.column(0)):
+            for _, _, block, offsets in utf8_blocks(batch.column(0), BLOCK):
                 elements, begin = shingle_sets(block, offsets, words)
                 own = set_keys(elements, begin)
                 fresh = np.zeros(len(own), dtype=bool)
@@ -249,11 +274,10 @@ GROUP = "group_id long, set_key long, band int, need int, n long"
 def shared_groups(entries: DataFrame) -> DataFrame:
     """The different sets that share a signature: (group_id, set_key, band, need, n), n of them.
 
-    Equal groups of a bucket come once.  Rows without a group_id count for a set and band its
-    signatures in large groups.
+    Equal small groups of a bucket come once.
     """
 
-    def rows(table: pa.Table) -> pa.Table:
+    def rows(key: tuple, table: pa.Table) -> pa.Table:
         sigs, nodes = [], []
         for s, p, k in zip(*(table.column(i).to_pylist() for i in (1, 2, 3))):
             sigs.append(from_planes(s, 5))
@@ -282,33 +306,33 @@ def shared_groups(entries: DataFrame) -> DataFrame:
         _, one = np.unique(name, return_index=True)
         chosen = np.zeros(len(first), dtype=bool)
         chosen[one] = True
-        row = np.repeat(chosen & (n > 1), n)
-        hot = node[np.repeat(n > LARGE, n)]
-        hot, times = np.unique(hot, return_counts=True)
-        group = pa.concat_arrays([pa.array(signed(np.repeat(name, n)[row])), pa.nulls(len(hot), pa.int64())])
-        node = np.concatenate([node[row], hot])
+        # small groups once, large ones as often as they are, named by their signature
+        small = np.repeat(chosen & (n > 1) & (n <= LARGE), n)
+        large = np.repeat(n > LARGE, n)
+        node = np.concatenate([node[small], node[large]])
         return pa.table({
-            "group_id": group, "set_key": signed(node["key"]), "band": node["band"].astype(np.int32),
-            "need": node["need"], "n": np.concatenate([np.repeat(n, n)[row], times]).astype(np.int64),
+            "group_id": signed(np.concatenate([np.repeat(name, n)[small], mix(sig[large] + U(key[0].as_py()))])),
+            "set_key": signed(node["key"]), "band": node["band"].astype(np.int32), "need": node["need"],
+            "n": np.concatenate([np.repeat(n, n)[small], np.repeat(n, n)[large]]).astype(np.int64),
         })
 
     return entries.groupBy("bucket").applyInArrow(rows, GROUP)
 
 
 def needed_groups(shared: DataFrame) -> DataFrame:
-    """(group_id, set_key) of stored :func:`shared_groups`, without sets that can leave large groups."""
-    heat = shared.where("group_id is null").groupBy("set_key", "band").agg(F.sum("n").alias("hot"))
-    large = shared.where(f"group_id is not null and n > {LARGE}").join(heat, ["set_key", "band"]).where("hot >= need")
-    small = shared.where(f"group_id is not null and n <= {LARGE}")
-    return small.select("group_id", "set_key").unionByName(large.select("group_id", "set_key")).distinct()
+    """(group_id, set_key) of stored :func:`shared_groups`, after each set left its largest groups."""
+    by_size = Window.partitionBy("set_key", "band").orderBy(F.desc("n"), "group_id")
+    large = shared.where(f"n > {LARGE}").withColumn("at", F.row_number().over(by_size)).where("at >= need")
+    small = shared.where(f"n <= {LARGE}").select("group_id", "set_key").distinct()
+    return small.unionByName(large.select("group_id", "set_key"))
 
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
-    """(set_key, elements): the packed set of each wanted (doc_id, set_key), read from the texts again."""
+    """(set_key, elements): the packed set of each wanted (row, set_key), read from the texts again."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, _, block, offsets in utf8_blocks(batch.column(1)):
+            for first, _, block, offsets in utf8_blocks(batch.column(1), BLOCK):
                 elements, begin = shingle_sets(block, offsets, words)
                 keys = signed(set_keys(elements, begin))
                 asked = batch.column(0).slice(first, len(keys)).to_numpy()
@@ -319,12 +343,35 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> Da
                     [pa.array(keys[hit]), pa.array(packed, pa.binary())], ["set_key", "elements"]
                 )
 
-    asked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(wanted, "doc_id")
+    asked = _identified(docs).join(wanted, "row")
     found = asked.select("set_key", "text").mapInArrow(rows, "set_key long, elements binary")
-    # a doc_id may be repeated with other texts: those rows have another key and are gone
+    # an id may be repeated with other texts: those rows have another key and are gone
     return found.groupBy("set_key").agg(F.first("elements").alias("elements"))
 
 
+def possible(pairs: DataFrame, kinds: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and cells (of ``kinds``) allow a link."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(i).to_numpy() for i in (2, 3))
+            x, y = (
+                np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(-1, CELLS).astype(np.int16)
+                for i in (4, 5)
+            )
+            apart = np.abs(x - y).sum(axis=1, dtype=np.int64)
+            # common elements are at most (n + m - apart) / 2
+            keep = pa.array(100 * (n + m - apart) >= NUMERATOR * (n + m + apart))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
+
+    left = kinds.select(F.col("set_key").alias("a"), F.col("n").alias("na"), F.col("cells").alias("ca"))
+    right = kinds.select(F.col("set_key").alias("b"), F.col("n").alias("nb"), F.col("cells").alias("cb"))
+    sized = pairs.join(left, "a").join(right.select("b", "nb"), "b")
+    sized = sized.where(f"100 * least(na, nb) >= {NUMERATOR} * greatest(na, nb)")
+    held = sized.join(right.select("b", "cb"), "b").select("a", "b", "na", "nb", "ca", "cb")
+    return held.mapInArrow(rows, "a long, b long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of set keys whose sets link."""
 
@@ -349,78 +396,119 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return held.mapInArrow(rows, "a long, b long")
 
 
-def link_classes(groups: DataFrame, sizes: DataFrame, docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame | None:
-    """(node, component) over set keys that link with another set; None when no group has two sets.
+def link_classes(groups: DataFrame, kinds: DataFrame, docs: DataFrame, words: int = WORDS) -> DataFrame | None:
+    """(node, component) over set keys that link with another set; None when no sets link.
 
     Each round compares pivots of every group with the group's other sets.  A group is done
     when its sets that were no pivots yet lie in one component: then all its pairs are
-    compared or joined already.  A round lists at most ``PIVOTS`` pairs per set of a group.
+    compared or joined already.  The second round lists at most ``PIVOTS`` pairs per set of a
+    group that is left, each later one four times as many.
     """
-    groups = materialize(groups.join(sizes, "set_key"))
-    if groups.isEmpty():
-        return None
-    nodes = groups.select("set_key").distinct().join(wanted, "set_key")
-    sets = materialize(candidate_sets(docs, nodes, words))
+    pivots = PIVOTS
+    groups = materialize(groups)
     # first round: all sets with the smallest key of their group
-    low = groups.groupBy("group_id").agg(F.min(F.struct("set_key", "n")).alias("p"))
-    pairs = groups.join(low, "group_id").where("set_key <> p.set_key")
-    pairs = pairs.select(F.col("p.set_key").alias("a"), F.col("set_key").alias("b"), F.col("p.n").alias("na"), F.col("n").alias("nb"))
-    rest = groups.join(low, "group_id").where("set_key <> p.set_key").drop("p")
-    tried, links, classes = None, None, None
+    low = groups.groupBy("group_id").agg(F.min("set_key").alias("p"))
+    rest = groups.join(low, "group_id").where("set_key <> p")
+    pairs = rest.select(F.least("p", "set_key").alias("a"), F.greatest("p", "set_key").alias("b"))
+    rest = rest.drop("p")
+    tried, sets, links, classes = None, None, None, None
     while True:
-        # sets of too different sizes cannot link
-        close = pairs.where(f"100 * least(na, nb) >= {NUMERATOR} * greatest(na, nb)")
-        close = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        close = pairs.distinct()
         if tried is not None:
             close = close.join(tried, ["a", "b"], "left_anti")
-        close = materialize(close)
-        tried = close if tried is None else tried.unionByName(close)
-        found = materialize(verified(close, sets))
-        if classes is None or not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            classes = materialize(components(links))
-        named = rest.join(classes, F.col("set_key") == F.col("node"), "left")
-        named = named.select("group_id", "set_key", "n", F.coalesce("component", "set_key").alias("component"))
+        close = materialize(possible(close, kinds))
+        if not close.isEmpty():
+            tried = close if tried is None else tried.unionByName(close)
+            nodes = close.select(F.col("a").alias("set_key")).unionByName(close.select(F.col("b").alias("set_key"))).distinct()
+            if sets is not None:
+                nodes = nodes.join(sets, "set_key", "left_anti")
+            # written, so that Spark knows its size when it plans the join with the texts
+            nodes = materialize(nodes.join(kinds, "set_key").select("set_key", "row"))
+            if not nodes.isEmpty():
+                more = materialize(candidate_sets(docs, nodes, words))
+                sets = more if sets is None else sets.unionByName(more)
+            found = materialize(verified(close, sets))
+            if not found.isEmpty():
+                links = found if links is None else links.unionByName(found)
+                classes = materialize(components(links))
+        if classes is None:
+            named = rest.withColumn("component", F.col("set_key"))
+        else:
+            named = rest.join(classes, F.col("set_key") == F.col("node"), "left")
+            named = named.select("group_id", "set_key", F.coalesce("component", "set_key").alias("component"))
         open_groups = named.groupBy("group_id").agg(F.min("component").alias("c"), F.max("component").alias("d"))
         open_groups = open_groups.where("c <> d").select("group_id")
         rest = materialize(named.join(open_groups, "group_id", "left_semi"))
         if rest.isEmpty():
-            break
+            return classes
         # the next pivots of a group: its smallest keys, found by partial top lists
         lists = rest.groupBy("group_id", F.pmod(F.xxhash64("set_key"), F.lit(64)).alias("s"))
-        lists = lists.agg(F.slice(F.sort_array(F.collect_list(F.struct("set_key", "n", "component"))), 1, PIVOTS).alias("p"))
-        lists = lists.groupBy("group_id").agg(F.slice(F.sort_array(F.flatten(F.collect_list("p"))), 1, PIVOTS).alias("p"))
+        lists = lists.agg(F.slice(F.sort_array(F.collect_list(F.struct("set_key", "component"))), 1, pivots).alias("p"))
+        lists = lists.groupBy("group_id").agg(F.slice(F.sort_array(F.flatten(F.collect_list("p"))), 1, pivots).alias("p"))
+        pivots *= 4
         both = rest.join(lists, "group_id")
-        pairs = both.select("set_key", "n", "component", F.explode("p").alias("q"))
+        pairs = both.select("set_key", "component", F.explode("p").alias("q"))
         pairs = pairs.where("q.set_key <> set_key and q.component <> component")
-        pairs = pairs.select(F.col("q.set_key").alias("a"), F.col("set_key").alias("b"), F.col("q.n").alias("na"), F.col("n").alias("nb"))
-        rest = both.where(~F.array_contains("p.set_key", F.col("set_key"))).drop("p", "component")
-    discard(sets)
-    return classes
+        pairs = pairs.select(F.least("q.set_key", "set_key").alias("a"), F.greatest("q.set_key", "set_key").alias("b"))
+        rest = both.where(~F.array_contains("p.set_key", F.col("set_key"))).select("group_id", "set_key")
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, set_key, component_id) for every row of ``docs`` (doc_id, text).
+def classes_of(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
+    """A row per document (doc_id, text_key, n_shingles, set_key), and (set_key, component) of all sets.
 
-    ``component_id`` is the smallest doc_id reachable over links, the row's own included;
-    for a document without shingles it is its own id.
+    ``component`` is the smallest key of the sets that are reachable over links.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     members = materialize(member_table(docs, words))
     kinds = members.where("set_key is not null").groupBy("set_key").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")
+        F.min(F.coalesce("doc_id", "text_key")).alias("row"), F.first("n_shingles").alias("n"), F.first("cells").alias("cells")
     )
     kinds = materialize(kinds)
     shared = materialize(shared_groups(signature_entries(docs, 4 * partitions(spark), words)))
-    classes = link_classes(
-        needed_groups(shared), kinds.select("set_key", "n"), docs, kinds.where("doc_id is not null").select("set_key", "doc_id"), words
-    )
+    classes = link_classes(needed_groups(shared), kinds, docs, words)
+    discard(shared)
+    named = kinds.select("set_key")
     if classes is None:
-        best = kinds.select("set_key", F.col("doc_id").alias("component_id"))
+        named = named.withColumn("component", F.col("set_key"))
     else:
-        named = kinds.join(classes, F.col("set_key") == F.col("node"), "left")
-        named = named.select("set_key", "doc_id", F.coalesce("component", "set_key").alias("component"))
-        best = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-        best = named.join(best, "component").select("set_key", "component_id")
+        named = named.join(classes, F.col("set_key") == F.col("node"), "left")
+        named = named.select("set_key", F.coalesce("component", "set_key").alias("component"))
+    return members.drop("cells"), named
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
+
+    ``component_id`` is the smallest doc_id reachable over links, the row's own included;
+    for a document without shingles it is its own id.
+    """
+    members, named = classes_of(docs, words)
+    sets = members.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"))
+    named = sets.join(named, "set_key")
+    best = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    best = named.join(best, "component").select("set_key", "component_id")
     joined = members.join(best, "set_key", "left")
-    return joined.select("doc_id", "n_shingles", "set_key", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest doc_id, and all rows without shingles.
+
+    Ids come before no id; among rows of one id the smallest text fingerprint decides, and of
+    rows that agree in both any one stays.
+    """
+    members, named = classes_of(docs, words)
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    named = members.where("set_key is not null").join(named, "set_key")
+    best = materialize(named.groupBy("component").agg(F.min(rank).alias("r")).select(
+        F.col("r.doc_id").alias("_one_id"), F.col("r.text_key").alias("_one_key")
+    ))
+    own = docs.withColumn("_own_key", _text_key(F.col("text")))
+    worded = F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    same = (F.col("_own_key") == F.col("_one_key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_one_id"))
+    chosen = own.where(worded).join(best, same, "left_semi")
+    twice = members.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
+    if not twice.isEmpty():
+        chosen = chosen.dropDuplicates(["doc_id", "_own_key"])
+    return chosen.drop("_own_key").unionByName(docs.where(~worded))
