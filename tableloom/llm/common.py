@@ -137,23 +137,19 @@ def components(edges: DataFrame) -> DataFrame:
     current = materialize(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
-    seen = None
     while True:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.where("u <> v").distinct())
+        large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         following = materialize(small.unionByName(low.withColumnRenamed("m", "v")).distinct())
-        discard(large)
-        mark = following.agg(
-            F.count("*").alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x")
-        ).first()
         discard(current)
         current = following
-        if mark == seen:
+        # done when all nodes point at roots, each at one
+        inner = current.join(current.select(F.col("u").alias("v")).distinct(), "v", "left_semi")
+        if inner.isEmpty() and current.groupBy("u").count().where("count > 1").isEmpty():
             break
-        seen = mark
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

@@ -54,7 +54,7 @@ PARTS = 0.32
 LARGE = 3
 # signature entries that a task packs at a time; pivots per group and round
 FLUSH = 1 << 18
-PIVOTS = 16
+PIVOTS = 32
 # bytes of texts that are worked on at a time
 BLOCK = 1 << 19
 # bytes per element of the sets that are compared
@@ -366,10 +366,9 @@ def possible(pairs: DataFrame, kinds: DataFrame) -> DataFrame:
 
     left = kinds.select(F.col("set_key").alias("a"), F.col("n").alias("na"), F.col("cells").alias("ca"))
     right = kinds.select(F.col("set_key").alias("b"), F.col("n").alias("nb"), F.col("cells").alias("cb"))
-    sized = pairs.join(left, "a").join(right.select("b", "nb"), "b")
-    sized = sized.where(f"100 * least(na, nb) >= {NUMERATOR} * greatest(na, nb)")
-    held = sized.join(right.select("b", "cb"), "b").select("a", "b", "na", "nb", "ca", "cb")
-    return held.mapInArrow(rows, "a long, b long")
+    held = pairs.join(left, "a").join(right, "b")
+    held = held.where(f"100 * least(na, nb) >= {NUMERATOR} * greatest(na, nb)")
+    return held.select("a", "b", "na", "nb", "ca", "cb").mapInArrow(rows, "a long, b long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -402,7 +401,7 @@ def link_classes(groups: DataFrame, kinds: DataFrame, docs: DataFrame, words: in
     Each round compares pivots of every group with the group's other sets.  A group is done
     when its sets that were no pivots yet lie in one component: then all its pairs are
     compared or joined already.  The second round lists at most ``PIVOTS`` pairs per set of a
-    group that is left, each later one four times as many.
+    group that is left, each later one eight times as many.
     """
     pivots = PIVOTS
     groups = materialize(groups)
@@ -445,7 +444,7 @@ def link_classes(groups: DataFrame, kinds: DataFrame, docs: DataFrame, words: in
         lists = rest.groupBy("group_id", F.pmod(F.xxhash64("set_key"), F.lit(64)).alias("s"))
         lists = lists.agg(F.slice(F.sort_array(F.collect_list(F.struct("set_key", "component"))), 1, pivots).alias("p"))
         lists = lists.groupBy("group_id").agg(F.slice(F.sort_array(F.flatten(F.collect_list("p"))), 1, pivots).alias("p"))
-        pivots *= 4
+        pivots *= 8
         both = rest.join(lists, "group_id")
         pairs = both.select("set_key", "component", F.explode("p").alias("q"))
         pairs = pairs.where("q.set_key <> set_key and q.component <> component")
