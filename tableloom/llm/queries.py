@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import bitslice, bpe, chat, hilbert, packing, partenum, quality, suffixes, urls
+from tableloom.llm import bitslice, bpe, chat, hilbert, licences, packing, partenum, quality, suffixes, urls
 from tableloom.plans.scratch import materialize
 from tableloom.session import Tables
 
@@ -157,3 +157,22 @@ def op6(t: Tables) -> DataFrame:
     encoded = bpe.encode(t.documents, public_tokenizers.path("word_bpe_49k.json"))
     sha = [F.sha2(F.encode(c, "UTF-8"), 256).alias(f"{c}_sha256") for c in ("ids", "decoded")]
     return encoded.select("doc_id", "n_tokens", *sha)
+
+
+# notices by which documents name their licence, fixed values
+LICENCES = {
+    "MIT": "Released under the MIT License.",
+    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
+    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "BSD-3-Clause": "Released under the 3-Clause BSD License.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0.",
+    "CC-BY-4.0": "Licensed under CC BY 4.0.",
+    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+}
+
+
+@query("op7_licence_scan")
+def op7(t: Tables) -> DataFrame:
+    return licences.scan(t.documents, LICENCES)

@@ -1,0 +1,41 @@
+"""Licence scans against all pairs of lines and templates."""
+
+import re
+
+from tableloom.llm import licences
+from tableloom.llm.queries import LICENCES
+
+
+def grams(text):
+    words = re.findall(r"[^\W_]+", text.lower())
+    return set(zip(words, words[1:])) if len(words) > 1 else {(w,) for w in words}
+
+
+def brute(text):
+    found = []
+    for at, line in enumerate((text or "").split("\n")):
+        for k, (name, template) in enumerate(LICENCES.items()):
+            x, y = grams(line), grams(template)
+            score = 2 * len(x & y) / (len(x) + len(y)) if x else 0.0
+            if score >= licences.THRESHOLD:
+                found.append((-score, k, at, name))
+    return (min(found)[3], min(found)[2], -min(found)[0]) if found else (None, None, 0.0)
+
+
+def test_scan(spark):
+    texts = [
+        None, "", " ", "MIT", "released UNDER the mit-license", "a\nReleased under the MIT License.\nLicensed under CC BY 4.0.",
+        "Licensed under CC BY-NC 4.0", "Licensed under the Apache License, Version 2.0. " * 3, "x " * 5000 + "Released under the MIT License.",
+        "This work is licensed under the GNU General Public License, version 3 or 2.", "Released under\nthe MIT License.",
+    ]
+    rows = [(i, t, "k") for i, t in enumerate(texts)] + [(None, texts[5], "k"), (5, texts[5], "k")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, licence string").repartition(3)
+    got = sorted(map(tuple, licences.scan(df, LICENCES).collect()), key=str)
+    assert got == sorted(((i, *brute(t)) for i, t, _ in rows), key=str)
+    assert licences.scan(df.limit(0), LICENCES).count() == 0
+
+
+def test_scan_of_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = {r.doc_id: (r.licence, r.line, r.score) for r in licences.scan(docs, LICENCES).collect()}
+    assert got == {r.doc_id: brute(r.text) for r in docs.collect()}
