@@ -175,4 +175,5 @@ LICENCES = {
 
 @query("op7_licence_scan")
 def op7(t: Tables) -> DataFrame:
-    return licences.scan(t.documents, LICENCES)
+    notices = [(name, "notice", text) for name, text in LICENCES.items()]
+    return licences.find(t.documents, notices + licences.licence_texts())
