@@ -12,11 +12,14 @@ meets every block as one task-sized group, so no group grows with the input.
 
 Defined results: vectors that are null, or hold a null or a non-finite component, and rows
 with a null id take no part; of several rows with one id the smallest vector counts; shorter
-vectors count as padded with zeros; quantised components are held within +-2^26.
+vectors count as padded with zeros.  Blocks hold as many slices as their components need, and
+sums grow past 64 bits where they have to; a component or one of the k highest scores that is no
+64-bit integer raises an error.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from math import ceil
 
 import numpy as np
@@ -29,7 +32,7 @@ from tableloom.plans.scratch import materialize
 SCALE = 64
 BLOCK = 1 << 15
 CHUNK = 256
-LIMIT = 1 << 26
+LEAST, BEYOND = -(1 << 63), 1 << 63
 
 
 def usable(vector: Column) -> Column:
@@ -42,7 +45,9 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """(vec_id, q): floor(scale * x) per component, one row per id."""
     doubles = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("v"))
     doubles = doubles.where(F.col("vec_id").isNotNull() & usable(F.col("v")))
-    q = F.transform("v", lambda x: F.greatest(F.least(F.floor(x * scale), F.lit(LIMIT)), F.lit(-LIMIT)))
+    fits = lambda x: (x * scale >= float(LEAST)) & (x * scale < float(BEYOND))
+    beyond = F.raise_error(F.lit("a quantised component is beyond 64 bits"))
+    q = F.transform("v", lambda x: F.when(fits(x), F.floor(x * scale)).otherwise(beyond))
     return doubles.select("vec_id", q.alias("q")).groupBy("vec_id").agg(F.min("q").alias("q"))
 
 
@@ -56,12 +61,12 @@ def _matrix(column: pa.ChunkedArray, side: int) -> np.ndarray:
 def slices_of(x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """Least value per dimension, and per dimension its bitmaps (bits, words) from the lowest bit up."""
     low = x.min(axis=0)
-    up = (x - low).T
+    up = (x.astype(np.uint64) - low.astype(np.uint64)).T  # unsigned, the difference may take 64 bits
     pad = -len(x) % 64
     out = []
     for values in up:
         bits = int(values.max()).bit_length()
-        planes = (values[None, :] >> np.arange(bits)[:, None]) & 1
+        planes = (values[None, :] >> np.arange(bits, dtype=np.uint64)[:, None]) & np.uint64(1)
         planes = np.pad(planes.astype(np.uint8), ((0, 0), (0, pad)))
         out.append(np.packbits(planes, axis=1, bitorder="little").view("<u8"))
     return low, out
@@ -70,7 +75,7 @@ def slices_of(x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
 def score_slices(q: np.ndarray, low: np.ndarray, slices: list[np.ndarray], words: int) -> tuple[int, list[np.ndarray]]:
     """The query's scores of all rows of a block as a constant plus bitmaps from the lowest bit up."""
     constant = 0
-    weights: list[list[np.ndarray]] = [[] for _ in range(64)]
+    weights: defaultdict[int, list[np.ndarray]] = defaultdict(list)
     for d in np.flatnonzero(q):
         a, planes = abs(int(q[d])), slices[d]
         if q[d] > 0:
@@ -84,8 +89,9 @@ def score_slices(q: np.ndarray, low: np.ndarray, slices: list[np.ndarray], words
                 for b, plane in enumerate(planes):
                     weights[j + b].append(plane)
             j += 1
-    out = []
-    for w, level in enumerate(weights):
+    out, w = [], 0
+    while w <= max(weights, default=-1):
+        level = weights[w]
         while len(level) > 2:
             # full adder: three bitmaps of a weight become one, and one of the next weight
             a, b, c = level.pop(), level.pop(), level.pop()
@@ -97,6 +103,7 @@ def score_slices(q: np.ndarray, low: np.ndarray, slices: list[np.ndarray], words
             weights[w + 1].append(a & b)
             level[:] = [a ^ b]
         out.append(level[0] if level else np.zeros(words, dtype="<u8"))
+        w += 1
     while out and not out[-1].any():
         out.pop()
     return constant, out
@@ -122,6 +129,19 @@ def top_rows(scores: list[np.ndarray], allowed: np.ndarray, k: int) -> np.ndarra
     return chosen
 
 
+def totals(constant: int, scores: list[np.ndarray], at: np.ndarray) -> list[int | None]:
+    """Scores at these positions; one below the 64-bit integers is None, one above raises."""
+    wide = len(scores) > 61 or abs(constant) >> 61
+    total = np.full(len(at), constant, dtype=object if wide else np.int64)
+    for w, plane in enumerate(scores):
+        bit = (plane[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1)
+        total += bit.astype(np.int64).astype(total.dtype) << w
+    out = total.tolist()
+    if wide and max(out, default=0) >= BEYOND:
+        raise OverflowError("a score is beyond 64 bits")
+    return [x if x >= LEAST else None for x in out]
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest inner products of each query with all other rows."""
     rows = materialize(quantised(vectors, scale))
@@ -146,7 +166,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int = SCALE) -> D
         })
 
     def searched(left: pa.Table, right: pa.Table) -> pa.Table:
-        found: list[tuple[int, int, int]] = []
+        found: list[tuple[int, int, int | None]] = []
         if left.num_rows and right.num_rows:
             row = left.to_pylist()[0]
             ids, low = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["low"], "<i8")
@@ -164,11 +184,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int = SCALE) -> D
                     allowed = everyone.copy()
                     allowed[own // 64] &= ~np.uint64(1 << (int(own) % 64))
                 at = top_rows(scores, allowed, k)
-                total = np.full(len(at), constant, dtype=np.int64)
-                for w, plane in enumerate(scores):
-                    bit = (plane[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1)
-                    total += bit.astype(np.int64) << w
-                found += zip([int(query)] * len(at), ids[at].tolist(), total.tolist())
+                found += zip([int(query)] * len(at), ids[at].tolist(), totals(constant, scores, at))
         cols = list(zip(*found)) if found else [[], [], []]
         return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("query_id", "vec_id", "score"), cols)})
 
@@ -181,6 +197,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int = SCALE) -> D
     found = built.groupBy("block", "chunk").cogroup(asked.groupBy("block", "chunk")).applyInArrow(
         searched, "query_id long, vec_id long, score long"
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    # a null score lies below all others: an error only if it is among the highest of all blocks
+    order = Window.partitionBy("query_id").orderBy(F.desc_nulls_last("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    score = F.coalesce("score", F.raise_error(F.lit("a score is beyond 64 bits")))
+    return ranked.select("query_id", "rank", "vec_id", score.alias("score"))
