@@ -46,7 +46,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-# tokenisation, the fitted model and byte-wise removal are beyond SQL; tests hold a brute-force version
+# tokenisation, the fitted model and byte-wise removal are beyond SQL; tests/llm/plain.py holds a brute-force version
 ORACLE_SQL = None
 
 
