@@ -74,6 +74,9 @@ def statistics(block: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     upper_pairs[1:] = (_CLASS[block[1:]] == 1) & (_CLASS[block[:-1]] == 1)
     marks = np.zeros(len(block), dtype=bool)
     marks[1:] = (_CLASS[block[1:]] == 7) & (block[1:] == block[:-1])
+    # a text's first byte has none before it
+    starts = offsets[:-1][size > 0]
+    upper_pairs[starts] = marks[starts] = False
     of = doc // _CLASSES
     out = np.zeros((n_docs, STATISTICS))
     out[:, :_CLASSES] = np.sqrt(shares / bytes_[:, None])

@@ -32,7 +32,7 @@ def corpus(seed=5):
     passage, border = prose(60).encode()[:260].decode(errors="ignore"), "q" + "".join(rng.choice("rstuv wxyz") for _ in range(198)) + "q"
     short = "k" + "".join(rng.choice("lmn opq") for _ in range(197)) + "k"
     assert (len(border), len(short)) == (200, 199)
-    rows += [(100 + i, f"{prose(40)}{i} {part} {i}{prose(40)}", 1) for i, part in enumerate([passage] * 3 + [border] * 2 + [short] * 2)]
+    rows += [(100 + i, f"{prose(40)} {i}{part}{i} {prose(40)}", 1) for i, part in enumerate([passage] * 3 + [border] * 2 + [short] * 2)]
     # é and è share their first byte, which goes with the passage before them
     mid = "".join(rng.choice("abc def") for _ in range(220))
     rows += [(110, f"{prose(50)} 1{mid}é one {prose(50)}", 1), (111, f"{prose(50)} 2{mid}è two {prose(50)}", 1)]
