@@ -17,8 +17,10 @@ more than ``LARGE`` sets are left, such as those around a very common line.
 Candidates first pass an exact bound: every set carries how many of its elements fall into
 each of 256 cells, and the cells' differences of two sets add up to at most the number of
 elements in which they differ.  What passes is verified on the whole sets.  Within a group of sets that share a
-signature no pairs are listed: a first pivot is compared with all others, and further
-pivots only where a group still holds sets of different components (``link_classes``).
+signature a first pivot is compared with all others, and further pivots, eight times as many
+each round, only where a group still holds sets of different components (``link_classes``).
+Sets of a group that do not link are listed pair by pair in the end: n (n - 1) / 2 rows for n
+of them, each joined with the cells of both sets.
 
 Defined results: a null or empty text, or one of white space alone, has ``n_shingles`` 0
 and links with nothing; repeated rows are documents of their own and link as equal sets;
