@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import bitslice, bpe, chat, hilbert, licences, packing, partenum, quality, suffixes, urls
+from tableloom.llm import bitslice, bpe, chat, hilbert, licences, negatives, packing, partenum, pieces, quality, suffixes, urls
 from tableloom.plans.scratch import materialize
 from tableloom.session import Tables
 
@@ -177,3 +177,39 @@ LICENCES = {
 def op7(t: Tables) -> DataFrame:
     notices = [(name, "notice", text) for name, text in LICENCES.items()]
     return licences.find(t.documents, notices + licences.licence_texts())
+
+
+@query("op11_sentencepiece_encoding")
+def op11(t: Tables) -> DataFrame:
+    encoded = pieces.encode(t.documents, public_tokenizers.path("piece_bpe_32k.model"))
+    decoded = F.sha2(F.encode("decoded", "UTF-8"), 256)
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), decoded.alias("decoded_sha256"))
+
+
+OP13_SQL = """
+WITH u AS (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM u a JOIN u b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+  AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) <= 5
+"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13(t: Tables) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(t.embeddings, label, F.col("vec_id") % 100 == 0, 5, 5)
