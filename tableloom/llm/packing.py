@@ -112,6 +112,23 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> np.ndarray:
 _encoders: dict[str, tuple] = {}
 
 
+def _vocabulary(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+def byte_ranks(path: str) -> tuple[dict[bytes, int], str]:
+    """(id of each byte string but the added tokens, pattern of words) of a byte-level vocabulary file."""
+    spec = _vocabulary(path)
+    # the usual printable stand-ins for bytes: printable Latin-1 for itself, the rest from 256 on
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+    added = {t["content"] for t in spec["added_tokens"]}
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in added}
+    return ranks, r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 def byte_encoder(path: str):
     """A function from texts to id arrays, as the byte-level vocabulary file at ``path`` gives them.
 
@@ -122,15 +139,9 @@ def byte_encoder(path: str):
         import tiktoken
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        # the usual printable stand-ins for bytes: printable Latin-1 for itself, the rest from 256 on
-        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        others = [b for b in range(256) if b not in set(plain)]
-        byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+        spec = _vocabulary(path)
         added = {t["content"] for t in spec["added_tokens"]}
-        ranks = {bytes(byte_of[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in added}
-        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+        ranks, pattern = byte_ranks(path)
         fast = tiktoken.Encoding("byte_level", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         whole = Tokenizer.from_file(path)
         whole.no_truncation()

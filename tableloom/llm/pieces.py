@@ -233,7 +233,9 @@ class PieceVocabulary:
             if len(said) and self.opens[own[said[0]]]:
                 text = text[1:]
             try:
-                out.append(text.decode())
+                # control ids between bytes keep them apart
+                apart = len(said) and said[-1] - said[0] >= len(said) and self.is_byte[own].any()
+                out.append(self._mended(own, text) if apart else text.decode())
             except UnicodeDecodeError:
                 out.append(self._mended(own, text))
             at += n

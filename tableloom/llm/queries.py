@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableloom.llm import bitslice, bpe, chat, hilbert, licences, negatives, packing, partenum, pieces, quality, suffixes, urls
+from tableloom.llm import align, bitslice, bpe, chat, hilbert, licences, negatives, packing, partenum, pieces, quality, suffixes, urls
 from tableloom.plans.scratch import materialize
 from tableloom.session import Tables
 
@@ -186,6 +186,11 @@ def op11(t: Tables) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), decoded.alias("decoded_sha256"))
 
 
+@query("op12_tokenizer_alignment")
+def op12(t: Tables) -> DataFrame:
+    return align.alignment(t.documents, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 OP13_SQL = """
 WITH u AS (
   SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
