@@ -4,6 +4,7 @@ fingerprints, packed entries for a shuffle, and connected components."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -98,9 +99,30 @@ def utf8_blocks(column: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, i
 BATCH_BYTES = 4 << 20
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Hold Arrow batches to ``BATCH_BYTES``: texts are long, and both sides buffer whole batches."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Hold Arrow batches of the jobs inside to ``BATCH_BYTES``: texts are long, and both sides buffer whole batches."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until the table has no column of that name."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def partitions(spark: SparkSession) -> int:

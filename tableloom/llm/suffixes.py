@@ -35,10 +35,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableloom.llm.common import (
-    U, byte_values, fingerprint, from_planes, partitions, planes, powers, prefix_sums, signed, small_batches, unsigned,
+    U, byte_values, fingerprint, from_planes, partitions, planes, powers, prefix_sums, signed, small_batches, unsigned, unused,
     utf8_blocks,
 )
-from tableloom.plans.scratch import discard, materialize
+from tableloom.plans.scratch import discard, materialize, temporary
 
 LENGTH = 200
 GRAM = 96
@@ -468,21 +468,21 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int | None = None) -> D
     """(key, n_removed, n_spans, kept) for each different text that loses bytes; ``key`` as in :func:`with_key`."""
     gram = GRAM if gram is None and length == LENGTH else gram or max(1, length // 2)
     spark = docs.sparkSession
-    small_batches(spark)
-    buckets = 2 * partitions(spark)
     # equal texts: one of them goes on, named by its row's id and text
     texts = with_key(docs.select("doc_id", "text")).where(F.octet_length("text") >= length)
     texts = texts.select(F.coalesce(F.col("doc_id").cast("long"), "key").alias("row"), "key", "text")
-    kinds = materialize(texts.groupBy("key").agg(F.count("*").alias("copies"), F.min("row").alias("row"), F.first(F.octet_length("text")).alias("n")))
-    states = materialize(run_states(run_entries(texts, buckets, length, gram), buckets))
-    chosen = kinds.select("key", "row").join(states.select("key"), "key", "left_semi")
-    one = texts.join(chosen, ["row", "key"]).select("key", "text")
-    opened = materialize(open_texts(one, states, length, gram))
-    discard(states)
-    cuts = splitters(opened, buckets, length)
-    starts = repeated_starts(suffix_entries(opened, cuts, length), buckets)
-    kept = materialize(cut_texts(opened, starts, length))
-    discard(opened)
+    with temporary(spark) as left, small_batches(spark):
+        kinds = materialize(texts.groupBy("key").agg(F.count("*").alias("copies"), F.min("row").alias("row"), F.first(F.octet_length("text")).alias("n")))
+        buckets = 2 * partitions(spark)
+        states = materialize(run_states(run_entries(texts, buckets, length, gram), buckets))
+        chosen = kinds.select("key", "row").join(states.select("key"), "key", "left_semi")
+        one = texts.join(chosen, ["row", "key"]).select("key", "text")
+        opened = materialize(open_texts(one, states, length, gram))
+        discard(states)
+        cuts = splitters(opened, buckets, length)
+        starts = repeated_starts(suffix_entries(opened, cuts, length), buckets)
+        kept = materialize(cut_texts(opened, starts, length))
+        left += [kinds, kept]
     alone = kept.join(kinds.where("copies = 1"), "key", "left_semi")
     copied = kinds.where("copies > 1").select(
         "key", F.col("n").cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept")
@@ -509,13 +509,14 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     What is left of a character that a cut goes through is dropped.  All rows stay.
     """
     own = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    cut = repeats(docs, length).select(F.col("key").alias("_cut_key"), F.col("kept").alias("_cut_kept"))
-    joined = docs.withColumn("_cut_key", own).join(cut, "_cut_key", "left")
-    whole = F.make_valid_utf8(F.col("_cut_kept").cast("string"))
+    key, kept = unused(docs, "cut_key", "cut_kept")
+    cut = repeats(docs, length).select(F.col("key").alias(key), F.col("kept").alias(kept))
+    joined = docs.withColumn(key, own).join(cut, key, "left")
+    whole = F.make_valid_utf8(F.col(kept).cast("string"))
     clean = F.when(F.contains("text", F.lit("�")), whole).otherwise(F.translate(whole, "�", ""))
-    text = F.when(F.col("_cut_kept").isNull(), F.col("text")).otherwise(clean)
+    text = F.when(F.col(kept).isNull(), F.col("text")).otherwise(clean)
     out = {"text": text}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out["n_chars"] = F.when(F.col("_cut_kept").isNull(), F.col("n_chars")).otherwise(F.length(clean).cast(kind))
+        out["n_chars"] = F.when(F.col(kept).isNull(), F.col("n_chars")).otherwise(F.length(clean).cast(kind))
     return joined.withColumns(out).select(*docs.columns)

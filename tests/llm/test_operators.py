@@ -12,6 +12,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from tableloom.llm import bitslice, bpe, chat, hilbert, packing, partenum, quality, suffixes, urls
 from tableloom.llm.queries import ALLOWED_URLS, BLOCKED_URLS, URL_RULES
 
@@ -274,7 +276,8 @@ def test_signatures_of_similar_sets_meet():
             assert any(len(by[0][b] & by[1][b]) >= max(1, need[0].get(b, 0), need[1].get(b, 0)) for b in set(by[0]) & set(by[1]))
 
 
-def test_groups_larger_than_the_pivots(spark, monkeypatch):
+@pytest.mark.parametrize("bounds", [{}, {"BLOCK_SETS": 7, "HOT": 5, "FLUSH": 500, "PAIRS": 16}, {"BLOCK_BYTES": 3000, "HOT": 40}])
+def test_groups_larger_than_the_blocks(spark, monkeypatch, bounds):
     rng = random.Random(8)
     # one passage in all documents, so that every set is in large groups; few of them link
     passage = " ".join(f"p{k}" for k in range(30))
@@ -283,7 +286,8 @@ def test_groups_larger_than_the_pivots(spark, monkeypatch):
         own = " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.choice([1, 2, 6, 30])))
         rows.append((i, passage + " " + own))
     rows += [(200 + i, rows[i][1] + " end") for i in range(0, 120, 7)]
-    monkeypatch.setattr(partenum, "PIVOTS", 2)
+    for name, value in bounds.items():
+        monkeypatch.setattr(partenum, name, value)
     sets, roots = linked(rows)
     best = {}
     for (i, _), r in zip(rows, roots):
@@ -292,6 +296,44 @@ def test_groups_larger_than_the_pivots(spark, monkeypatch):
     assert got == {i: best[r] for (i, _), r in zip(rows, roots)}
 
 
+def one_line_in_all(n):
+    """``n`` different texts that share one line; every hundredth has a near copy."""
+    rng = random.Random(12)
+    line = "this very common line stands in all of these texts"
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    rows = [(i, f"{line} " + " ".join(word() for _ in range(rng.choice([1, 3, 9, 20, 60])))) for i in range(n)]
+    copies = [(n + i, rows[i][1] + " end") for i in range(0, n, 100) if len(rows[i][1].split()) > 20]
+    return rows + copies, {n + i: i for i, _ in rows if i % 100 == 0 and len(rows[i][1].split()) > 20}
+
+
+def test_five_thousand_sets_share_a_line(spark, monkeypatch):
+    n = 5000
+    rows, copies = one_line_in_all(n)
+    made = {}
+    for name in ("needed_groups", "open_groups", "clusters", "joining_links"):
+        def kept(*args, whole=getattr(partenum, name), name=name):
+            out = whole(*args)
+            made[name] = out.count()
+            return out
+        monkeypatch.setattr(partenum, name, kept)
+    got = {r.doc_id: r.component_id for r in partenum.near_duplicates(documents(spark, rows)).collect()}
+    few = {i for i, t in rows[:n] if len(t.split()) <= 11}  # the line and one word: 7 shingles, 6 of them common
+    assert len(got) == len(rows) and len(copies) > 10
+    assert all(got[i] == copies[i] for i in copies)
+    assert all(got[i] == i for i in range(n) if i not in few)
+    assert {got[i] for i in few} == few
+    # no step makes a row per pair
+    assert made["needed_groups"] < 40 * n and made["open_groups"] < 40 * n
+    assert made["clusters"] < n and made["joining_links"] <= len(copies)
+
+
+def test_one_of_each_keeps_clashing_columns(spark):
+    rows = [(1, "a b c d e f", 5), (2, "a b c d e f", 6), (3, None, 7), (4, "x", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, own_key long").withColumn("_own_key", F.lit(1)).withColumn("one_id", F.lit(2))
+    left = partenum.one_of_each(docs)
+    assert left.columns == docs.columns and {(r.doc_id, r.own_key) for r in left.collect()} == {(1, 5), (3, 7), (4, 8)}
+
+
 # --- chat
 
 def test_chat_round_trip(spark):
