@@ -8,8 +8,8 @@ row that is still unseen can score more than the sum of the anchor's components
 values the lists have reached: the threshold.  A search over windows of scores ends for a
 window when its k-th score in the block is known and the threshold is strictly below it, or
 when the threshold is below the window's lower end; rows that tie with the threshold are still
-read.  Lists are read in runs that double, and what is read last decides, so a block costs at
-most one pass over its rows however flat the scores are.
+read.  Lists are read in runs that double, and once they have met half the rows that count they
+are read to their ends at once, so a block costs about one pass over its rows however flat the scores are.
 
 An anchor's positives are its best rows of the same label; each opens a window of scores for
 rows of other labels.  Both searches are searches over windows, the first with one that is
@@ -68,7 +68,8 @@ class SortedLists:
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, q: np.ndarray, order: np.ndarray):
         self.ids, self.labels, self.q, self.order = ids, labels, q, order
-        self.width = int(np.abs(q.astype(object)).max()) if q.size and q.min() == LEAST else int(np.abs(q).max(initial=0))
+        self.width = max((abs(int(x)) for x in (q.min(), q.max())), default=0) if q.size else 0
+        self.values: dict[type, np.ndarray] = {}
 
     def _type(self, anchor: np.ndarray):
         # sums stay exact in doubles up to 2^53, in 64-bit integers up to 2^63, beyond that in Python's
@@ -80,47 +81,50 @@ class SortedLists:
 
         Higher scores come first, equal ones by position; ``None`` leaves an end open.
         """
-        dims, kind = np.flatnonzero(anchor), self._type(anchor)
-        n = len(self.ids)
-        a = anchor[dims].astype(kind)
-        values = self.q[:, dims].astype(kind)
-        seen = ~allowed
+        dims, kind, n = np.flatnonzero(anchor), self._type(anchor), len(self.ids)
+        if kind not in self.values:
+            self.values[kind] = self.q.astype(kind)
+        values, a = self.values[kind], anchor.astype(kind)
+        # a positive component reads its list from the largest value down, a negative one from the smallest up
+        up, down = dims[anchor[dims] < 0], dims[anchor[dims] > 0]
+        unseen, wanted = allowed.copy(), int(allowed.sum())
         at, scores = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=kind)
         open_windows = set(range(len(windows)))
         best: list[list[tuple[int, int]]] = [[] for _ in windows]
         depth = 0
         while True:
-            until = min(n, max(RUN, 2 * depth)) if len(dims) else n
-            if len(dims):
-                # a positive component reads its list from the largest value down, a negative one from the smallest up
-                up, down = self.order[dims, depth:until], self.order[dims, n - until : n - depth]
-                met = np.unique(np.concatenate([down[anchor[dims] > 0].ravel(), up[anchor[dims] < 0].ravel()]))
+            until = min(n, max(RUN, 2 * depth))
+            if not len(dims) or 2 * len(at) >= wanted:
+                until = n
+            if until == n:
+                met = np.flatnonzero(unseen)
             else:
-                met = np.arange(n)
-            met = met[~seen[met]]
-            seen[met] = True
+                reached = np.zeros(n, dtype=bool)
+                reached[self.order[down, n - until : n - depth].ravel()] = True
+                reached[self.order[up, depth:until].ravel()] = True
+                met = np.flatnonzero(reached & unseen)
+            unseen[met] = False
             at = np.concatenate([at, met])
-            scores = np.concatenate([scores, values[met] @ a])
-            depth = until
-            threshold = None
-            if depth < n and not seen.all():
-                last = np.where(anchor[dims] > 0, self.order[dims, n - depth], self.order[dims, depth - 1])
-                threshold = int((a * values[last, np.arange(len(dims))]).sum())
+            # random access; most of the rows are scored together
+            scores = np.concatenate([scores, values[met] @ a if 4 * len(met) < n else (values @ a)[met]])
+            depth, threshold = until, None
+            if depth < n and unseen.any():
+                last = sum(int(a[d]) * int(self.q[self.order[d, n - depth], d]) for d in down.tolist())
+                threshold = last + sum(int(a[d]) * int(self.q[self.order[d, depth - 1], d]) for d in up.tolist())
             for w in sorted(open_windows):
                 low, high = windows[w]
                 inside = np.ones(len(at), dtype=bool)
                 if low is not None:
-                    inside &= scores >= low
+                    inside &= (scores >= low).astype(bool)
                 if high is not None:
-                    inside &= scores <= high
+                    inside &= (scores <= high).astype(bool)
                 found = np.flatnonzero(inside)
                 if len(found) > k:
                     # all that reach the k-th score, ties included, then by score and position
                     kth = np.partition(scores[found], len(found) - k)[len(found) - k] if kind is not object else sorted(scores[found])[-k]
                     found = found[scores[found] >= kth]
-                ranked = sorted(((-int(scores[i]), int(at[i])) for i in found))[:k]
-                best[w] = [(p, -s) for s, p in ranked]
-                full = len(ranked) == k and threshold is not None and threshold < best[w][-1][1]
+                best[w] = [(p, -s) for s, p in sorted((-int(scores[i]), int(at[i])) for i in found)[:k]]
+                full = len(best[w]) == k and threshold is not None and threshold < best[w][-1][1]
                 below = threshold is not None and low is not None and threshold < low
                 if threshold is None or full or below:
                     open_windows.discard(w)
