@@ -10,9 +10,11 @@ bands by size, and give signatures in the bands in which a similar, not larger s
 * Second level: each part is cut into three; a signature covers two of the three, all ways.  The
   one difference of such a part lies outside one of them, which both sets therefore share.
 
-Parts in which x fills fewer than two of the three could share an empty signature, which is none.
-``need`` counts the parts that must share: all, less half the differences, less those.  A set
-with ``need`` below one, a matter of chance, is *bare*.
+A part without a difference shares three signatures, one with a single difference at least one.
+Parts in which x fills fewer than two of the three could share an empty signature, which is none,
+and do not count.  Of p parts that count and k differences, at least ``need`` = 2 p - k signatures
+are shared: fewest when all parts have one or two differences.  A set with ``need`` below one, a
+matter of chance, is *bare*.
 
 Smaller sets, and bare ones, give the subsets of a fixed size (``level``) of their first elements
 in the order of the fingerprints: similar sets share that many among the first
@@ -20,8 +22,8 @@ in the order of the fingerprints: similar sets share that many among the first
 
 A similar pair shares at least ``need`` signatures of a band, so each set may leave the
 ``need - 1`` largest groups it is in, groups being ordered by size and name: the smallest group
-that a similar pair shares is among what both keep.  Only groups of more than ``LARGE`` sets are
-left, such as those around a very common line.  A signature that many sets of one task share
+that a similar pair shares is among what both keep.  So groups around a very common line or a
+long passage are left, and sets that share too few signatures with anyone leave all.  A signature that many sets of one task share
 travels in rows of its own, so no group gathers more than its share.
 
 Sets that share a group are compared in two steps (``link_classes``).  First each set is compared
@@ -29,10 +31,11 @@ with one other, the smallest of a group that it meets as such most often; this j
 copies.  Groups that then still hold sets of different components are cut into blocks of bounded
 rows and bytes, and every block meets every block of its group inside a task: an exact bound on
 256 cells of the sets (the cells' differences of two sets add up to at most the number of
-elements in which they differ) leaves the pairs that may link, and the sets in such pairs, not the
-pairs, are written.  Their whole sets are then compared inside a task, which keeps track of what
-is joined already and sends out only links that join two components.  No step makes a row per
-pair; rows grow with sets and groups.
+elements in which they differ) leaves the pairs that may link; written are not the pairs but each
+set with one that such pairs lead to.  These rows fall into families, and the whole sets of a
+family are compared block with block inside tasks, which keep track of what is joined already and
+send out only links that join two components.  No step makes a row per pair; rows grow with sets
+and groups.
 
 Defined results: a null or empty text, or one of white space alone, has ``n_shingles`` 0
 and links with nothing; repeated rows are documents of their own and link as equal sets;
@@ -57,7 +60,7 @@ from tableloom.llm.common import (
     U, byte_values, components, fingerprint, from_planes, mix, mix_int, partitions, planes, powers, prefix_sums,
     signed, small_batches, unsigned, unused, utf8_blocks,
 )
-from tableloom.plans.scratch import materialize, temporary
+from tableloom.plans.scratch import discard, materialize, temporary
 
 WORDS = 5
 # 100 * |x and y| >= NUMERATOR * |x or y|
@@ -73,8 +76,8 @@ LARGE = 3
 # signature entries that a task packs at a time, and how many sets of these make a signature hot
 FLUSH = 1 << 20
 HOT = 512
-# signature entries of a bucket, by the number of elements of all sets
-BUCKET = 1 << 22
+# elements of all sets for each bucket of signatures
+BUCKET = 1 << 21
 # sets, and bytes of their elements, of a block that is compared with others
 BLOCK_SETS = 1 << 10
 BLOCK_BYTES = 64 << 20
@@ -207,7 +210,7 @@ def signatures(elements: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.
         # differences from a set not larger than the band's end, or from any when the set lies in the band itself
         differences = np.where(step == 0, n // 4, (n + end) // 9)
         weak = np.bincount(owner[filled.sum(axis=1) < 2], minlength=len(which))
-        need = parts - differences // 2 - weak
+        need = 2 * (parts - weak) - differences
         number = (np.arange(len(sums)) - (base // 3)[owner]).astype(U) * U(3)
         seed = mix(band[which].astype(U) + U(7))[owner]
         for out, (i, j) in enumerate(((1, 2), (0, 2), (0, 1))):
@@ -272,8 +275,8 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 
 ENTRY = "bucket int, part long, sigs binary, places binary, nodes binary, hot binary"
-# bytes of a signature inside its bucket
-SIG = 5
+# bytes of a signature inside its bucket: buckets grow with the data, so few signatures fall together by chance
+SIG = 4
 
 
 def _bucket(sig: np.ndarray, buckets: int) -> np.ndarray:
@@ -351,13 +354,14 @@ def signature_entries(docs: DataFrame, buckets: int, words: int = WORDS) -> Data
 
 
 NODE = np.dtype([("key", "<u8"), ("need", "u1"), ("band", "u1")])
-GROUP = "group_id long, set_key long, band int, need int"
+GROUP = "group_id long, set_key long, band int, need int, times int"
 
 
 def shared_groups(entries: DataFrame) -> DataFrame:
-    """The different sets that share a signature: (group_id, set_key, band, need).
+    """The different sets that share a signature: (group_id, set_key, band, need, times).
 
-    Equal small groups of a bucket come once.  Sets of a hot signature come without regard to others.
+    Equal small groups of a bucket come once, with their number.  Sets of a hot signature come
+    without regard to others.
     """
 
     def named(sig: np.ndarray, bucket: int) -> np.ndarray:
@@ -369,7 +373,8 @@ def shared_groups(entries: DataFrame) -> DataFrame:
             # the sets of a hot signature
             parts = [(from_planes(s, SIG), np.frombuffer(k, dtype=NODE)) for s, k in zip(*(table.column(i).to_pylist() for i in (2, 4)))]
             ids = [np.repeat(named(s, bucket), len(node)) for s, node in parts]
-            return made(np.concatenate(ids), np.concatenate([node for _, node in parts]))
+            ids, node = np.concatenate(ids), np.concatenate([node for _, node in parts])
+            return made(ids, node, np.ones(len(ids), dtype=np.int32))
         sigs, nodes, hot = [], [], []
         for i in range(table.num_rows):
             s, p, k, h = (table.column(c)[i].as_py() for c in ("sigs", "places", "nodes", "hot"))
@@ -393,24 +398,25 @@ def shared_groups(entries: DataFrame) -> DataFrame:
         fresh[1:] = (sig[1:] != sig[:-1]) | (node["key"][1:] != node["key"][:-1])
         sig, node = sig[fresh], node[fresh]
         if not len(sig):
-            return made(sig, node)
+            return made(sig, node, np.zeros(0, dtype=np.int32))
         first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         n = np.diff(np.append(first, len(sig)))
         # a group is named by its members, so equal groups of other signatures fall together
         name = mix(np.add.reduceat(mix(node["key"] + mix(node["band"].astype(U))), first) + n.astype(U))
-        _, one = np.unique(name, return_index=True)
-        chosen = np.zeros(len(first), dtype=bool)
-        chosen[one] = True
+        _, one, times = np.unique(name, return_index=True, return_counts=True)
+        chosen = np.zeros(len(first), dtype=np.int32)
+        chosen[one] = times
         # small groups once, large and hot ones as often as they are, named by their signature
         wide = (n > LARGE) | np.isin(sig[first], hot)
-        small, large = np.repeat(chosen & (n > 1) & ~wide, n), np.repeat(wide, n)
+        small, large = np.repeat((chosen > 0) & (n > 1) & ~wide, n), np.repeat(wide, n)
         ids = np.concatenate([np.repeat(name, n)[small], named(sig[large], bucket)])
-        return made(ids, np.concatenate([node[small], node[large]]))
+        times = np.concatenate([np.repeat(chosen, n)[small], np.ones(int(large.sum()), dtype=np.int32)])
+        return made(ids, np.concatenate([node[small], node[large]]), times)
 
-    def made(ids: np.ndarray, node: np.ndarray) -> pa.Table:
+    def made(ids: np.ndarray, node: np.ndarray, times: np.ndarray) -> pa.Table:
         return pa.table({
             "group_id": signed(ids), "set_key": signed(node["key"]), "band": node["band"].astype(np.int32),
-            "need": node["need"].astype(np.int32),
+            "need": node["need"].astype(np.int32), "times": times,
         })
 
     return entries.groupBy("bucket", "part").applyInArrow(rows, GROUP)
@@ -418,14 +424,13 @@ def shared_groups(entries: DataFrame) -> DataFrame:
 
 def needed_groups(shared: DataFrame) -> DataFrame:
     """(group_id, set_key) of stored :func:`shared_groups`, after each set left its largest groups."""
-    # a hot signature may have sent a set from several tasks
-    shared = shared.distinct()
-    sizes = shared.groupBy("group_id").agg(F.count("*").alias("n")).where(f"n > {LARGE}")
-    sized = shared.join(sizes, "group_id", "left")
+    # equal groups of several buckets, and sets that several tasks sent for a hot signature; counting these
+    # more than once leaves fewer groups, never more
+    shared = shared.groupBy("group_id", "set_key", "band").agg(F.max("need").alias("need"), F.sum("times").alias("times"))
+    sizes = shared.groupBy("group_id").agg(F.count("*").alias("n")).where("n > 1")
     by_size = Window.partitionBy("set_key", "band").orderBy(F.desc("n"), "group_id")
-    large = sized.where("n is not null").withColumn("at", F.row_number().over(by_size)).where("at >= need")
-    small = sized.where("n is null").select("group_id", "set_key")
-    return small.unionByName(large.select("group_id", "set_key")).distinct()
+    held = shared.join(sizes, "group_id").withColumn("at", F.sum("times").over(by_size))
+    return held.where("at >= need").select("group_id", "set_key").distinct()
 
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
@@ -593,8 +598,8 @@ def _roots(parent: np.ndarray) -> np.ndarray:
         parent = above
 
 
-def clusters(units: DataFrame) -> DataFrame:
-    """(cluster, set_key, component): the sets of a unit that the cells leave together; equal clusters come once."""
+def families(units: DataFrame) -> DataFrame:
+    """(a, b): each set of a unit that the cells leave with others, and one that pairs of them lead to."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches):
@@ -609,33 +614,28 @@ def clusters(units: DataFrame) -> DataFrame:
                         break
                     np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
             parent = _roots(parent)
-            size = np.bincount(parent, minlength=len(parent))[parent]
-            inside = np.flatnonzero(size > 1)
-            name = np.zeros(len(parent), dtype=U)
-            np.add.at(name, parent[inside], mix(unsigned(key[inside])))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(mix(name[parent[inside]]))), pa.array(key[inside]), pa.array(component[inside])],
-                ["cluster", "set_key", "component"],
-            )
+            led = np.flatnonzero(parent != np.arange(len(parent)))
+            yield pa.RecordBatch.from_arrays([pa.array(key[parent[led]]), pa.array(key[led])], ["a", "b"])
 
     held = units.select("unit", "side", "set_key", "component", "n", "cells").repartition("unit").sortWithinPartitions("unit", "n", "set_key")
-    return held.mapInArrow(rows, "cluster long, set_key long, component long").distinct()
+    return held.mapInArrow(rows, "a long, b long").distinct()
 
 
 def joining_links(held: DataFrame) -> DataFrame:
-    """(a, b) of verified links that join two components of a cluster.
+    """(a, b) of verified links that join two components of a unit.
 
-    ``held`` has (cluster, set_key, component, n, cells, elements).  A task goes through the pairs
-    that may link and keeps track of what is joined, so a cluster gives fewer links than it has sets.
+    ``held`` has the columns of :func:`block_pairs` and ``elements``.  A task goes through the pairs
+    that may link and keeps track of what is joined, so a unit gives fewer links than it has sets.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches):
-            cluster, key, component, n = (table.column(c).to_numpy() for c in ("cluster", "set_key", "component", "n"))
+            unit, side, key, component, n = (table.column(c).to_numpy() for c in ("unit", "side", "set_key", "component", "n"))
             packed, sets = table.column("elements"), {}
             parent: dict[tuple[int, int], tuple[int, int]] = {}
 
-            def root(x: tuple[int, int]) -> tuple[int, int]:
+            def root(place: int) -> tuple[int, int]:
+                x = int(unit[place]), int(component[place])
                 while x in parent:
                     up = parent[x]
                     if up in parent:
@@ -649,28 +649,29 @@ def joining_links(held: DataFrame) -> DataFrame:
                 return sets[place]
 
             out = []
-            side = np.full(len(cluster), 2)
-            for i, j in possible_pairs(cluster, side, component, n, _cell_table(table)):
+            for i, j in possible_pairs(unit, side, component, n, _cell_table(table)):
                 for a, b in zip(i.tolist(), j.tolist()):
-                    x, y = root((int(cluster[a]), int(component[a]))), root((int(cluster[b]), int(component[b])))
+                    x, y = root(a), root(b)
                     if x != y and linked(elements(a), elements(b)):
                         parent[x] = y
                         out.append((min(int(key[a]), int(key[b])), max(int(key[a]), int(key[b]))))
             cols = list(zip(*out)) if out else [[], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b"])
 
-    rows_of = held.select("cluster", "set_key", "component", "n", "cells", "elements")
-    return rows_of.repartition("cluster").sortWithinPartitions("cluster", "n", "set_key").mapInArrow(rows, "a long, b long")
+    rows_of = held.select("unit", "side", "set_key", "component", "n", "cells", "elements")
+    return rows_of.repartition("unit").sortWithinPartitions("unit", "n", "set_key").mapInArrow(rows, "a long, b long")
 
 
 def link_classes(groups: DataFrame, kinds: DataFrame, docs: DataFrame, words: int = WORDS) -> DataFrame | None:
-    """(node, component) over set keys that link with another set; None when no sets link."""
+    """(node, component) over set keys that link with another set; None when no sets link.
+
+    ``groups`` (group_id, set_key) and ``kinds`` are stored tables.
+    """
 
     def whole_sets(keys: DataFrame) -> DataFrame:
         # written, so that Spark knows its size when it plans the join with the texts
         return materialize(candidate_sets(docs, materialize(keys.join(kinds, "set_key").select("set_key", "row")), words))
 
-    groups = materialize(groups)
     links, classes = None, None
     close = materialize(possible(first_pairs(groups), kinds))
     if not close.isEmpty():
@@ -681,11 +682,13 @@ def link_classes(groups: DataFrame, kinds: DataFrame, docs: DataFrame, words: in
     rest = materialize(open_groups(groups, classes))
     if rest.isEmpty():
         return classes
-    together = materialize(clusters(block_pairs(rest, kinds)))
-    if together.isEmpty():
+    leads = materialize(families(block_pairs(rest, kinds)))
+    if leads.isEmpty():
         return classes
-    sets = whole_sets(together.select("set_key").distinct())
-    more = materialize(joining_links(together.join(kinds.select("set_key", "n", "cells"), "set_key").join(sets, "set_key")))
+    named = materialize(components(leads)).select(F.col("component").alias("group_id"), F.col("node").alias("set_key"))
+    sets = whole_sets(named.select("set_key"))
+    held = materialize(open_groups(named, classes))
+    more = materialize(joining_links(block_pairs(held, kinds).join(sets, "set_key")))
     if more.isEmpty():
         return classes
     return materialize(components(more if links is None else links.unionByName(more)))
@@ -702,10 +705,12 @@ def classes_of(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFram
     )
     kinds = materialize(kinds)
     elements = kinds.agg(F.sum("n")).first()[0] or 0
-    # less than one signature per element and band
-    buckets = max(4 * partitions(docs.sparkSession), -(-elements // BUCKET))
+    # about one signature per element
+    buckets = max(partitions(docs.sparkSession), -(-elements // BUCKET))
     shared = materialize(shared_groups(signature_entries(docs, buckets, words)))
-    classes = link_classes(needed_groups(shared), kinds, docs, words)
+    groups = materialize(needed_groups(shared))
+    discard(shared)
+    classes = link_classes(groups, kinds, docs, words)
     named = kinds.select("set_key")
     if classes is None:
         named = named.withColumn("component", F.col("set_key"))

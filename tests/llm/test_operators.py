@@ -310,7 +310,7 @@ def test_five_thousand_sets_share_a_line(spark, monkeypatch):
     n = 5000
     rows, copies = one_line_in_all(n)
     made = {}
-    for name in ("needed_groups", "open_groups", "clusters", "joining_links"):
+    for name in ("needed_groups", "open_groups", "families", "joining_links"):
         def kept(*args, whole=getattr(partenum, name), name=name):
             out = whole(*args)
             made[name] = out.count()
@@ -324,7 +324,7 @@ def test_five_thousand_sets_share_a_line(spark, monkeypatch):
     assert {got[i] for i in few} == few
     # no step makes a row per pair
     assert made["needed_groups"] < 40 * n and made["open_groups"] < 40 * n
-    assert made["clusters"] < n and made["joining_links"] <= len(copies)
+    assert made["families"] < n and made["joining_links"] <= len(copies)
 
 
 def test_one_of_each_keeps_clashing_columns(spark):
