@@ -15,10 +15,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import partial
-from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tableloom.functions import text as tx
@@ -196,7 +195,7 @@ def tournament(population: DataFrame, rounds: int, seed: int, generation: int) -
     )
     met = drawn.drop("n").join(light, ["deme", "rn"])
     winners = met.groupBy("deme", "slot").agg(
-        F.min(F.struct((-F.col("fitness")).alias("f"), F.col("ind_id").alias("i"))).alias("_w")
+        F.min(F.struct(F.col("fitness").isNull().alias("n"), (-F.col("fitness")).alias("f"), F.col("ind_id").alias("i"))).alias("_w")
     ).select("deme", "slot", F.col("_w.i").alias("ind_id"))
     return winners.join(population, list(KEY)).select("deme", "slot", "ind_id", "genes", "fitness")
 
@@ -452,13 +451,34 @@ def truncated(population: DataFrame, sizes: DataFrame) -> DataFrame:
     return join_small(population, sizes, ["deme"]).where(F.col("ind_id") <= F.col("n")).drop("n")
 
 
+def elite_ids(population: DataFrame, elite: int) -> DataFrame:
+    """(deme, ind_id, place) of the ``elite`` best of every deme, smallest id first on ties."""
+    order = Window.partitionBy("deme").orderBy(F.desc("fitness"), "ind_id")
+    # the row number is bounded, so partitions drop all but their own best before the shuffle
+    return population.select(*KEY, "fitness").withColumn("place", F.row_number().over(order)).where(
+        F.col("place") <= elite
+    ).drop("fitness")
+
+
 def elitist_generation(
     scored: DataFrame, seed: int, generation: int, elite: int, p_individual: float = 0.2, p_gene: float = 0.05,
     p_cross: float = 1.0,
 ) -> DataFrame:
-    """Keep the elite; shuffle, pair, cross and mutate the rest."""
-    top, rest = elite_and_rest(scored, elite)
-    children = two_point(pairs_by(shuffled(rest, seed, generation)), seed, generation, p_cross, offset=elite)
+    """Keep the elite; shuffle, pair, cross and mutate the rest.
+
+    Ranking and shuffling move ids only; genes join their places once.
+    """
+    top = materialize(elite_ids(scored, elite))
+    rest = scored.select(*KEY).join(top, list(KEY), "left_anti")
+    at = F.col("rn") - 1
+    sides = shuffled(rest, seed, generation).select(
+        *KEY, F.floor(at / 2).alias("pair_id"), (at % 2).cast("int").alias("side"), F.lit(None).cast("int").alias("place")
+    )
+    kept = top.select(*KEY, F.lit(None).cast("bigint").alias("pair_id"), F.lit(None).cast("int").alias("side"), "place")
+    placed = materialize(scored.join(sides.unionByName(kept), list(KEY)))
+    top = placed.where("place is not null").select("deme", F.col("place").cast("bigint").alias("ind_id"), "genes", "fitness")
+    pairs = _side_by_side(placed.where("place is null"))
+    children = two_point(pairs, seed, generation, p_cross, offset=elite)
     return top.unionByName(resample_genes(children, seed, generation, p_individual, p_gene))
 
 
@@ -559,6 +579,85 @@ def _drive(population, fitness, step, seed, limit, finished, figures, on_generat
     return run
 
 
+class GenerationStore:
+    """Generations and figures of a run, as tables below one folder that all executors share.
+
+    ``open/generation=<g>`` holds the individuals that go on after generation g, and is written last;
+    ``stopped/generation=<g>`` those whose search ended with it, ``figures`` one row per deme.  A
+    generation counts once its open part is complete.  Writing one again replaces all its parts, and
+    steps give the same rows every time, so a run that broke off goes on from its last generation.
+    """
+
+    PARTS = ("figures", "stopped", "open")
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _path(self, part: str, generation: int | None = None):
+        name = f"{self.folder}/{part}" + ("" if generation is None else f"/generation={generation}")
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+
+    def last(self) -> int | None:
+        """The last complete generation."""
+        whole = self._path("open")
+        files = whole.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(whole):
+            return None
+        found = [int(f.getPath().getName().partition("=")[2]) for f in files.listStatus(whole) if f.isDirectory()]
+        done = [g for g in found if files.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._path("open", g), "_SUCCESS"))]
+        return max(done, default=None)
+
+    def write(self, generation: int, **parts: DataFrame) -> None:
+        for part in self.PARTS:
+            parts[part].write.mode("overwrite").parquet(self._path(part, generation).toString())
+
+    def read(self, part: str, generation: int | None = None) -> DataFrame:
+        """A part of one generation, or of all with a column ``generation``."""
+        reader = self.spark.read
+        if generation is None:
+            return reader.parquet(self._path(part).toString())
+        return reader.parquet(self._path(part, generation).toString())
+
+    def forget(self, generation: int) -> None:
+        """Remove the open part of a generation that is no longer needed."""
+        path = self._path("open", generation)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def search(
+    population: DataFrame, fitness: Fitness, step: Step, seed: int, limit: int, target: float, store: GenerationStore
+) -> DataFrame:
+    """Breed every deme until its best reaches ``target``, at most ``limit`` generations.
+
+    Demes that reached it leave the loop with the generation that did, the others go on.  Goes on
+    where ``store`` ends, so after a broken run the same call finishes the search.  Gives the
+    individuals of every deme's last generation: ``(deme, ind_id, genes, fitness, generation, reached)``.
+    """
+    last = store.last()
+    generation = -1 if last is None else last
+    while generation < limit:
+        if generation >= 0:
+            going = store.read("open", generation)
+            if going.isEmpty():
+                break
+        generation += 1
+        with temporary(store.spark):
+            following = population if generation == 0 else step(going, seed, generation - 1)
+            scored = materialize(score(following, fitness))
+            figures = materialize(scored.groupBy("deme").agg(
+                F.count("*").alias("n"), F.max("fitness").alias("best"), F.min("fitness").alias("worst"), F.avg("fitness").alias("mean")
+            ))
+            done = figures.where(F.col("best") >= target).select("deme")
+            store.write(
+                generation, figures=figures, stopped=scored.join(done, "deme", "left_semi"), open=scored.join(done, "deme", "left_anti")
+            )
+        if generation > 1:
+            store.forget(generation - 2)
+    stopped = store.read("stopped").withColumn("reached", F.lit(True))
+    left = store.read("open", generation).withColumn("generation", F.lit(generation)).withColumn("reached", F.lit(False))
+    return stopped.unionByName(left)
+
+
 def metrics_table(run: Run, spark) -> DataFrame:
     """The history as a table: one row per generation."""
     return spark.createDataFrame(
@@ -570,13 +669,55 @@ def metrics_table(run: Run, spark) -> DataFrame:
 # ---- user surface ----------------------------------------------------------
 
 
-class Genetics(Protocol):
-    """What a search has to say; every part works on tables or columns."""
+class Genetics:
+    """A search in hooks from tables to tables; a user's class overrides what it needs.
+
+    Defaults: everybody crosses, nobody mutates, parents are neighbours in the order of fitness,
+    children are their parents, and the search never ends before its limit.
+    """
+
+    def initial(self) -> DataFrame:
+        """The first population: (deme, ind_id, genes, fitness)."""
+        raise NotImplementedError
+
+    def fitness(self, genes: Column) -> Column:
+        return F.size(genes).cast("double")
+
+    def probability_crossover(self) -> float:
+        return 1.0
+
+    def probability_mutation(self) -> float:
+        return 0.0
+
+    def parents(self, scored: DataFrame, seed: int, generation: int) -> DataFrame:
+        """Pairs (deme, pair_id, a, b) of individuals; ids of pairs count from 0."""
+        return sorted_pairs(scored)
+
+    def crossover(self, pairs: DataFrame, seed: int, generation: int) -> DataFrame:
+        """Children of pairs, with ids 2 * pair_id + 1 and 2 * pair_id + 2 and no fitness unless it is known."""
+        return unchanged(pairs)
+
+    def mutation(self, children: DataFrame, seed: int, generation: int) -> DataFrame:
+        """The drawn children after mutation, without fitness where genes may have changed."""
+        return children
+
+    def finished(self, history: list[dict]) -> bool:
+        return False
+
+    def next_generation(self, scored: DataFrame, seed: int, generation: int) -> DataFrame:
+        """Parents, gated crossover, gated mutation, and as many children as there were individuals."""
+        pairs = materialize(self.parents(scored, seed, generation))
+        crosses = draw_unit(seed, generation, "cross", F.col("deme"), F.col("pair_id")) < self.probability_crossover()
+        children = self.crossover(pairs.where(crosses), seed, generation).unionByName(unchanged(pairs.where(~crosses)))
+        # the pairs are stored, so both branches read them and nothing before
+        mutates = draw_unit(seed, generation, "mutate", *_who()) < self.probability_mutation()
+        mutated = self.mutation(children.where(mutates), seed, generation).unionByName(children.where(~mutates))
+        return truncated(mutated, deme_sizes(scored))
+
 
-    def initial(self) -> DataFrame: ...
-    def fitness(self, genes: Column) -> Column: ...
-    def next_generation(self, scored: DataFrame, seed: int, generation: int) -> DataFrame: ...
-    def finished(self, history: list[dict]) -> bool: ...
+def unchanged(pairs: DataFrame) -> DataFrame:
+    """The parents of pairs as their own children."""
+    return _children(pairs, F.lit(0), F.lit(0), F.lit(False))
 
 
 def run_genetics(genetics: Genetics, seed: int, limit: int) -> Run:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableloom.operators.bayes import decode_label
@@ -60,6 +60,15 @@ def write_predictions(predictions: DataFrame, id_col: str, path: str, predicted:
     csv_rows(numbered_predictions(predictions, id_col, predicted), path, header=False)
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
-    """Add rows to a metrics table, one call per generation."""
-    metrics.write.mode("append").parquet(path)
+def append_metrics(metrics: DataFrame, path: str, run: str, generation: int) -> None:
+    """Add the rows of one generation of one run to a log.
+
+    The rows lie in a folder of their own, so the append is one commit, and a generation that is
+    written again replaces its rows instead of adding to them.
+    """
+    metrics.write.mode("overwrite").parquet(f"{path}/run={run}/generation={int(generation)}")
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a log, with ``run`` and ``generation``."""
+    return spark.read.parquet(path)

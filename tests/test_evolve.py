@@ -154,3 +154,70 @@ def test_toolbox_binds_arguments():
     assert box.power(5) == 32
     box.unregister("power")
     assert not hasattr(box, "power")
+
+
+def _ids(spark, demes, size):
+    return spark.range(demes * size).selectExpr(f"id % {demes} AS deme", "id AS ind_id")
+
+
+def test_unknown_fitness_never_wins(spark):
+    rows = [(0, i, [0], None if i % 2 else float(i)) for i in range(8)]
+    population = spark.createDataFrame(rows, "deme bigint, ind_id bigint, genes array<int>, fitness double")
+    won = [r for g in range(6) for r in ev.tournament(population, 3, 5, g).collect()]
+    lone = [r for r in won if r.fitness is None]
+    # only where all three drawn are unknown
+    assert len(won) == 48 and len(lone) < 16 and ev.tournament(population, 40, 5, 0).where("fitness is null").isEmpty()
+
+
+def test_search_goes_on_after_a_break(spark, tmp_path):
+    first = ev.random_population(_ids(spark, 3, 40), 16, 9)
+    calls = []
+
+    def step(scored, seed, generation):
+        calls.append(generation)
+        if generation == 2 and calls.count(2) == 1:
+            raise RuntimeError("lost")
+        return ev.elitist_generation(scored, seed, generation, elite=4)
+
+    def found(folder, broken):
+        store = ev.GenerationStore(spark, str(tmp_path / folder))
+        ask = lambda: ev.search(first, ev.ones_count, step, 9, 8, 12.0, store)
+        if broken:
+            with pytest.raises(RuntimeError):
+                ask()
+            assert store.last() == 2
+        rows = {(r.deme, r.ind_id): (r.genes, r.fitness, r.generation, r.reached) for r in ask().collect()}
+        return rows, store
+
+    whole, store = found("broken", True)
+    assert calls[:4] == [0, 1, 2, 2]
+    again, _ = found("whole", False)
+    assert whole == again and len(whole) == 120
+    best = {}
+    for (deme, _), (_, fitness, generation, reached) in whole.items():
+        assert reached
+        best[deme] = max(best.get(deme, (0, 0)), (fitness, generation))
+    assert all(b[0] >= 12 for b in best.values())
+    # figures are kept for every generation a deme took part in, older open parts are gone
+    figures = store.read("figures").collect()
+    assert len(figures) == sum(b[1] + 1 for b in best.values())
+    assert not store._path("open", 0).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(store._path("open", 0))
+
+
+def test_search_ends_at_its_limit(spark, tmp_path):
+    first = ev.random_population(_ids(spark, 2, 6), 16, 9)
+    store = ev.GenerationStore(spark, str(tmp_path / "limit"))
+    rows = ev.search(first, ev.ones_count, lambda s, seed, g: ev.flip_bits(s, seed, g), 9, 2, 17.0, store).collect()
+    assert len(rows) == 12 and {(r.generation, r.reached) for r in rows} == {(2, False)}
+
+
+def test_default_hooks(spark):
+    class Bare(ev.Genetics):
+        def initial(self):
+            return ev.random_population(_ids(spark, 2, 5), 4, 1)
+
+    run = ev.run_genetics(Bare(), 1, 2)
+    rows = run.population.collect()
+    assert run.generations == 2 and len(rows) == 10 and {r.fitness for r in rows} == {4.0}
+    start = sorted((r.deme, tuple(r.genes)) for r in ev.random_population(_ids(spark, 2, 5), 4, 1).collect())
+    assert sorted((r.deme, tuple(r.genes)) for r in rows) == start

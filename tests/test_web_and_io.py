@@ -146,9 +146,10 @@ def test_predictions_and_metrics(spark):
     rows = readers.csv_rows(spark, path, "row_no int, label string").orderBy("row_no").collect()
     assert [tuple(r) for r in rows] == [(1, "ham"), (2, "spam"), (3, "spam")]
     log = f"{folder()}/metrics"
-    for generation in range(2):
-        writers.append_metrics(spark.createDataFrame([(generation, 0.5)], "generation int, best double"), log)
-    assert spark.read.parquet(log).count() == 2
+    for run, generation, best in (("a", 0, 0.5), ("a", 1, 0.6), ("a", 1, 0.7), ("b", 1, 0.8)):
+        writers.append_metrics(spark.createDataFrame([(best,)], "best double"), log, run, generation)
+    # generation 1 of run a was written again
+    assert {(r.run, r.generation, r.best) for r in writers.read_metrics(spark, log).collect()} == {("a", 0, 0.5), ("a", 1, 0.7), ("b", 1, 0.8)}
 
 
 def test_outside_stores_describe_themselves(spark):
