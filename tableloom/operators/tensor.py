@@ -239,11 +239,10 @@ def random_cells(df: DataFrame, names: Sequence[str], seed: int, normal: bool =
     return df.withColumn("value", fn(seed, "cell", *[F.col(c) for c in names]))
 
 
-def _partial_sums(df: DataFrame, columns: Sequence[str], fn, size: int) -> np.ndarray:
-    """Sum ``fn(arrays) -> vector of size`` over all batches.
+def _sum_table(df: DataFrame, columns: Sequence[str], fn, size: int) -> DataFrame:
+    """``(k, v)``: the sum of ``fn(arrays) -> vector of size`` over all batches.
 
-    Every partition sends one vector; they are added by position, and ``size``
-    numbers come back.
+    Every partition sends one vector; they are added by position.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -254,9 +253,13 @@ def _partial_sums(df: DataFrame, columns: Sequence[str], fn, size: int) -> np.nd
         yield pd.DataFrame({"v": [total]})
 
     parts = df.select(*columns).mapInPandas(run, "v array<double>")
-    rows = parts.select(F.posexplode("v").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("v")).collect()
+    return parts.select(F.posexplode("v").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("v"))
+
+
+def _partial_sums(df: DataFrame, columns: Sequence[str], fn, size: int) -> np.ndarray:
+    """The same as an array on the driver."""
     out = np.zeros(size)
-    for row in rows:
+    for row in _sum_table(df, columns, fn, size).collect():
         out[row["k"]] = row["v"]
     return out
 
@@ -356,6 +359,49 @@ def tucker_to_tensor(core: Tensor, factors: Sequence[DataFrame], shape: Sequence
     return Tensor(tucker_at(cells, core, factors, shape), tuple(shape))
 
 
+def kruskal_square(factors: Sequence[DataFrame], rank: int) -> float:
+    """Squared norm of a CP form, from the Gram matrices of its factors."""
+    return float(np.sum(reduce(lambda a, b: a * b, [gram(f, rank) for f in factors])))
+
+
+def tucker_square(core: Tensor, factors: Sequence[DataFrame]) -> float:
+    """Squared norm of a Tucker form, from its core and the Gram matrices of its factors."""
+    values = turned = small_array(core)
+    for n, factor in enumerate(factors):
+        turned = np.moveaxis(np.tensordot(gram(factor, core.shape[n]), turned, axes=(1, n)), 0, n)
+    return float(np.sum(values * turned))
+
+
+def factored_error(at_cells: DataFrame, square: float) -> DataFrame:
+    """One row as :func:`relative_error`, for a form of squared norm ``square``.
+
+    ``at_cells`` has the stored cells with ``value`` and ``model``, the form's value there: the
+    squared difference is |model|^2 - 2 <model, x> + |x|^2, so only stored cells are read.
+    """
+    x = F.col("value")
+    sums = at_cells.agg(F.sum(x * F.col("model")).alias("inner"), F.sum(x * x).alias("size"))
+    gap = F.greatest(F.lit(square) - 2 * F.col("inner") + F.col("size"), F.lit(0.0))
+    return sums.select(F.sqrt(gap).alias("difference"), F.sqrt("size").alias("norm"), (F.sqrt(gap) / F.sqrt("size")).alias("error"))
+
+
+def _modelled(x: Tensor, at) -> DataFrame:
+    """The stored cells of ``x`` with the value that ``at(cells)`` gives them as ``model``."""
+    cells = x.cells.withColumnRenamed("value", "_x")
+    return at(cells).withColumnsRenamed({"value": "model", "_x": "value"})
+
+
+def kruskal_error(x: Tensor, factors: Sequence[DataFrame], rank: int) -> DataFrame:
+    """``difference``, ``norm`` and ``error`` of a CP form, without its tensor."""
+    at = lambda cells: kruskal_at(cells, factors, rank, x.shape)
+    return factored_error(_modelled(x, at), kruskal_square(factors, rank))
+
+
+def tucker_error(x: Tensor, core: Tensor, factors: Sequence[DataFrame]) -> DataFrame:
+    """``difference``, ``norm`` and ``error`` of a Tucker form, without its tensor."""
+    at = lambda cells: tucker_at(cells, core, factors, x.shape)
+    return factored_error(_modelled(x, at), tucker_square(core, factors))
+
+
 def mttkrp(x: Tensor, factors: Sequence[DataFrame], mode: int, rank: int) -> DataFrame:
     """Matricised tensor times Khatri-Rao product: ``(row, f)`` with one sum per rank."""
     rest = {n: f for n, f in enumerate(factors) if n != mode}
@@ -375,10 +421,40 @@ class Decomposition:
     errors: list[float]
 
 
+def _stretch(x: Tensor, stacked: Sequence[DataFrame], rank: int, size: float) -> tuple[float, float]:
+    """The step along the change of the factors that fits best, and the relative error there.
+
+    A row of ``stacked`` holds a factor's row and its change.  Along the step the inner product with
+    the tensor is a polynomial of as many degrees as modes, found in one pass; the squared norm, of
+    twice as many, follows from Gram matrices.
+    """
+    order = x.order
+    met = _with_factors(x.cells, dict(enumerate(stacked)), {n: 2 * s * rank for n, s in enumerate(x.shape)})
+    sums = []
+    for degree in range(order + 1):
+        chosen = [c for c in product((0, 1), repeat=order) if sum(c) == degree]
+        terms = " + ".join(_product([(n, r + rank * c[n]) for n in range(order)]) for c in chosen for r in range(rank))
+        sums.append(F.expr(f"sum(value * ({terms})) AS c{degree}"))
+    inner = np.polynomial.Polynomial(list(met.agg(*sums).first()))
+    grams = [gram(table, 2 * rank) for table in stacked]
+    square = np.polynomial.Polynomial([0.0])
+    for i, j in np.ndindex(rank, rank):
+        term = np.polynomial.Polynomial([1.0])
+        for g in grams:
+            term = term * np.polynomial.Polynomial([g[i, j], g[i, rank + j] + g[rank + i, j], g[rank + i, rank + j]])
+        square = square + term
+    gap = size - 2 * inner + square
+    steps = [float(r.real) for r in gap.deriv().roots() if abs(r.imag) < 1e-9 and r.real > 0]
+    best = min([0.0, *steps], key=gap)
+    return best, float(np.sqrt(max(gap(best), 0.0) / size))
+
+
 def parafac(x: Tensor, rank: int, sweeps: int = 100, tol: float = 1e-8, seed: int = 64) -> Decomposition:
     """CP by alternating least squares; ``errors`` holds the relative error per sweep.
 
-    The error comes from the Gram matrices, without building the tensor.
+    The error comes from the Gram matrices, without building the tensor.  Every second sweep is
+    followed by a step along the change it made, as far as fits best, so that long slow stretches
+    in one direction take few sweeps.
     """
     spark = x.cells.sparkSession
     factors = [random_factor(spark, s, rank, seed, n) for n, s in enumerate(x.shape)]
@@ -386,10 +462,11 @@ def parafac(x: Tensor, rank: int, sweeps: int = 100, tol: float = 1e-8, seed: in
     size = x.cells.agg(F.sum(F.col("value") * F.col("value"))).first()[0]
     errors: list[float] = []
     targets: list[DataFrame | None] = [None] * x.order
-    for _ in range(sweeps):
+    for sweep in range(sweeps):
+        before, kept = factors, list(targets)
+        factors = list(factors)
         for mode in range(x.order):
             target = materialize(mttkrp(x, factors, mode, rank))
-            discard(targets[mode])
             targets[mode] = target
             others = reduce(lambda a, b: a * b, [g for n, g in enumerate(grams) if n != mode])
             solve = np.linalg.pinv(others)
@@ -400,7 +477,26 @@ def parafac(x: Tensor, rank: int, sweeps: int = 100, tol: float = 1e-8, seed: in
             crossing = float(np.sum(inner * solve))
         model = float(np.sum(reduce(lambda a, b: a * b, grams)))
         errors.append(float(np.sqrt(max(size - 2 * crossing + model, 0.0) / size)))
-        if len(errors) > 1 and abs(errors[-2] - errors[-1]) < tol:
+        done = len(errors) > 1 and abs(errors[-2] - errors[-1]) < tol
+        if not done and sweep % 2:
+            changed = F.concat("f", F.zip_with("f", "_b", lambda now, old: now - old))
+            stacked = [
+                materialize(now.join(old.withColumnRenamed("f", "_b"), "row").select("row", changed.alias("f")))
+                for now, old in zip(factors, before)
+            ]
+            step, error = _stretch(x, stacked, rank, size)
+            if step > 0 and error < errors[-1]:
+                ahead = np.concatenate([np.eye(rank), step * np.eye(rank)])
+                factors = [materialize(times(f, ahead)) for f in stacked]
+                grams = [gram(f, rank) for f in factors]
+                errors[-1] = error
+                kept, targets = [*kept, *targets], list(factors)
+            for table in stacked:
+                discard(table)
+        # the factors before are read no more
+        for table in kept:
+            discard(table)
+        if done:
             break
     return Decomposition(factors, None, errors)
 
@@ -455,26 +551,41 @@ def _projected_wide(met: DataFrame, rest: Sequence[int], ranks: Sequence[int], m
     return cells.mapInPandas(partial, schema).groupBy("row").applyInPandas(whole_row, schema)
 
 
-def _leading(y: DataFrame, rows: int, side: int, rank: int, spark: SparkSession) -> tuple[DataFrame, np.ndarray]:
-    """The leading left singular vectors of the unfolding ``y`` as a factor, and their part of the core.
+def _row_gram(y: DataFrame, rows: int, side: int) -> np.ndarray:
+    """``Y Y^T`` of an unfolding of few rows: runs of columns meet in tasks, one small matrix each comes back."""
+    width = max(1, min(side, BUFFER // rows))
+    runs = F.transform(
+        F.sequence(F.lit(0), F.lit((side - 1) // width)),
+        lambda k: F.struct(k.alias("run"), F.slice("f", k * width + 1, F.least(F.lit(width), F.lit(side) - k * width)).alias("part")),
+    )
+    cut = y.select("row", F.explode(runs).alias("c")).select("row", "c.run", "c.part")
+
+    def summed(group: pd.DataFrame) -> pd.DataFrame:
+        part = _stack(group["part"])
+        at = group["row"].to_numpy()
+        whole = np.zeros((rows, rows))
+        whole[np.ix_(at, at)] = part @ part.T
+        return pd.DataFrame({"v": [whole.ravel()]})
+
+    parts = cut.groupBy("run").applyInPandas(summed, "v array<double>")
+    return _partial_sums(parts, ["v"], lambda v: v.sum(axis=0), rows * rows).reshape(rows, rows)
+
 
-    The smaller of rows and side is solved for: few rows come to the driver as
-    they are, many are summed to the Gram matrix of their columns.
+def _leading(y: DataFrame, rows: int, side: int, rank: int) -> tuple[DataFrame, float]:
+    """The leading left singular vectors of the unfolding ``y`` as a factor, and their squared singular values' sum.
+
+    The smaller of the Gram matrices of rows and of columns is summed in tasks and solved for.
     """
-    core = np.zeros((rank, side))
+    spark = y.sparkSession
     if rows <= side:
-        if rows > SOLVE_LIMIT or rows * side > SOLVE_LIMIT * SOLVE_LIMIT:
-            raise ValueError(f"a {rows} x {side} matrix is too large for the driver")
-        whole = np.zeros((rows, side))
-        for r in y.collect():
-            whole[r["row"]] = r["f"]
-        left, sigma, right = np.linalg.svd(whole, full_matrices=False)
-        n = min(rank, len(sigma))
+        if rows > SOLVE_LIMIT:
+            raise ValueError(f"a {rows} x {rows} matrix is too large for the driver")
+        values, vectors = np.linalg.eigh(_row_gram(y, rows, side))
+        top = np.argsort(values)[::-1][:rank]
         factor = np.zeros((rows, rank))
-        factor[:, :n] = left[:, :n]
-        core[:n] = sigma[:n, None] * right[:n]
+        factor[:, : len(top)] = vectors[:, top]
         table = spark.createDataFrame([(i, f.tolist()) for i, f in enumerate(factor)], "row bigint, f array<double>")
-        return table, core
+        return table, float(np.maximum(values[top], 0.0).sum())
     values, vectors = np.linalg.eigh(gram(y, side))
     top = np.argsort(values)[::-1][:rank]
     sigma = np.sqrt(np.maximum(values[top], 0.0))
@@ -482,22 +593,30 @@ def _leading(y: DataFrame, rows: int, side: int, rank: int, spark: SparkSession)
     inverse = np.where(keep, 1.0 / np.where(keep, sigma, 1.0), 0.0)
     padded = np.zeros((side, rank))
     padded[:, : len(top)] = vectors[:, top] * inverse
-    core[: len(top)] = (vectors[:, top] * np.where(keep, sigma, 0.0)).T
-    return times(y, padded), core
+    return times(y, padded), float(np.sum(sigma[keep] ** 2))
+
+
+def _core(y: DataFrame, factor: DataFrame, ranks: Sequence[int], mode: int) -> Tensor:
+    """``factor^T Y`` as a table of cells; ``Y`` is unfolded by ``mode``."""
+    rest = [r for n, r in enumerate(ranks) if n != mode]
+    side = prod(rest)
+    met = y.join(factor.withColumnRenamed("f", "u"), "row")
+    sums = _sum_table(met, ["u", "f"], lambda u, f: (u.T @ f).ravel(), ranks[mode] * side)
+    matrix = sums.select(floor_divide(F.col("k"), side).alias("row"), F.pmod("k", F.lit(side)).alias("col"), F.col("v").alias("value"))
+    return fold(matrix, mode, ranks)
 
 
 def tucker(x: Tensor, ranks: Sequence[int], sweeps: int = 50, tol: float = 1e-6, seed: int = 64) -> Decomposition:
     """Tucker by higher-order orthogonal iteration.
 
     The problem solved for a mode has the side of its size or of the product of
-    the other ranks, whichever is smaller.
-    The core follows from the last one: ``U^T Y = S V^T``.
+    the other ranks, whichever is smaller.  The core is a table of its own,
+    summed in tasks from the last mode's unfolding.
     """
     spark = x.cells.sparkSession
     factors = [random_factor(spark, s, r, seed, n) for n, (s, r) in enumerate(zip(x.shape, ranks))]
     size = x.cells.agg(F.sum(F.col("value") * F.col("value"))).first()[0]
     errors: list[float] = []
-    core = None
     projections: list[DataFrame | None] = [None] * x.order
     for _ in range(sweeps):
         for mode in range(x.order):
@@ -505,13 +624,13 @@ def tucker(x: Tensor, ranks: Sequence[int], sweeps: int = 50, tol: float = 1e-6,
             y = materialize(_projected(x, factors, ranks, mode))
             discard(projections[mode])
             projections[mode] = y
-            factors[mode], core = _leading(y, x.shape[mode], side, ranks[mode], spark)
-        errors.append(float(np.sqrt(max(size - float(np.sum(core * core)), 0.0) / size)))
+            factors[mode], held = _leading(y, x.shape[mode], side, ranks[mode])
+        errors.append(float(np.sqrt(max(size - held, 0.0) / size)))
         if len(errors) > 1 and abs(errors[-2] - errors[-1]) < tol:
             break
     last = x.order - 1
-    moved = np.moveaxis(core.reshape([ranks[last]] + [r for n, r in enumerate(ranks) if n != last]), 0, last)
-    return Decomposition(factors, small_tensor(spark, moved), errors)
+    core = _core(projections[last], factors[last], list(ranks), last)
+    return Decomposition(factors, Tensor(materialize(core.cells), tuple(ranks)), errors)
 
 
 def small_tensor(spark: SparkSession, values: np.ndarray) -> Tensor:
@@ -547,12 +666,12 @@ def space_savings(original: Column, compressed: Column) -> Column:
     return (100 * (1 - compressed / original)).cast("int")
 
 
-def penalised_objective(
-    reconstructed: Tensor, original: Tensor, factors: Sequence[DataFrame], core: Tensor | None, penalty: float
-) -> DataFrame:
-    """One row ``objective``: squared error plus ``penalty`` times all squared parameters."""
-    gap = difference(reconstructed, original).cells
-    parts = gap.agg(F.sum(F.col("value") * F.col("value")).alias("v"))
+def penalised_objective(error: DataFrame, factors: Sequence[DataFrame], core: Tensor | None, penalty: float) -> DataFrame:
+    """One row ``objective``: squared error plus ``penalty`` times all squared parameters.
+
+    ``error`` is a row of :func:`kruskal_error`, :func:`tucker_error` or :func:`relative_error`.
+    """
+    parts = error.select((F.col("difference") * F.col("difference")).alias("v"))
     pieces = [as_long(f).select("value") for f in factors] + ([core.cells.select("value")] if core else [])
     weights = reduce(DataFrame.unionByName, pieces).agg((penalty * F.sum(F.col("value") * F.col("value"))).alias("v"))
     return parts.unionByName(weights).agg(F.sum("v").alias("objective"))
@@ -574,17 +693,43 @@ def pack_samples(samples: Tensor) -> DataFrame:
 class KruskalRegressor:
     """Linear regression on tensors with low-rank weights.
 
-    ``fit`` takes ``(x array<double>, y double)``: each sample in row order.  One
-    pass per mode and iteration sums the normal equations inside the tasks; the
-    driver solves a matrix of side ``size of the mode * rank``.
+    ``fit`` takes ``(x array<double>, y double)``: each sample in row order.  Up to
+    ``SOLVE_LIMIT`` cells a sample, one pass sums the second moments of x and its products
+    with y, and all iterations of all starts solve on these.  Beyond that one pass per mode
+    and iteration sums the normal equations inside the tasks.  The driver solves a matrix of
+    side ``size of the mode * rank``.
     """
 
-    def __init__(self, shape: Sequence[int], rank: int, reg: float = 1.0, tol: float = 1e-6, max_iter: int = 100, seed: int = 64):
+    def __init__(
+        self, shape: Sequence[int], rank: int, reg: float = 1.0, tol: float = 1e-6, max_iter: int = 100, seed: int = 64, starts: int = 1
+    ):
         self.shape, self.rank, self.reg = tuple(shape), rank, reg
-        self.tol, self.max_iter, self.seed = tol, max_iter, seed
+        self.tol, self.max_iter, self.seed, self.starts = tol, max_iter, seed, starts
         self.factors: list[np.ndarray] = []
         self.iterations = 0
 
+    def _spread(self, mode: int) -> np.ndarray:
+        """The matrix (cells, size of the mode * rank) that takes a factor to full weights."""
+        out = np.ones((1, self.rank))
+        for n, size in enumerate(self.shape):
+            if n == mode:
+                eye = np.eye(size)[:, :, None]
+                out = (out.reshape(-1, 1, 1, self.rank) * eye[None]).reshape(-1, size, self.rank)
+            elif n < mode:
+                out = (out[:, None, :] * self.factors[n][None]).reshape(-1, self.rank)
+            else:
+                out = (out[:, None] * self.factors[n][None, :, None, :]).reshape(-1, self.shape[mode], self.rank)
+        return out.reshape(prod(self.shape), self.shape[mode] * self.rank)
+
+    def _moments(self, df: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
+        width = prod(self.shape)
+
+        def sums(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            return np.concatenate([(x.T @ x).ravel(), x.T @ y, [y @ y]])
+
+        total = _partial_sums(df, ["x", "y"], sums, width * width + width + 1)
+        return total[: width * width].reshape(width, width), total[width * width : -1], float(total[-1])
+
     def _equations(self, df: DataFrame, mode: int) -> tuple[np.ndarray, np.ndarray]:
         shape, rank = self.shape, self.rank
         factors = [f.copy() for f in self.factors]
@@ -603,19 +748,41 @@ class KruskalRegressor:
         total = _partial_sums(df, ["x", "y"], sums, side * side + side)
         return total[: side * side].reshape(side, side), total[side * side:]
 
-    def fit(self, df: DataFrame) -> KruskalRegressor:
-        rng = np.random.default_rng(self.seed)
-        self.factors = [rng.random((s, self.rank)) for s in self.shape]
-        size = None
+    def _descend(self, equations) -> None:
+        """Sweeps over the modes until the weights settle."""
+        before = None
         for self.iterations in range(1, self.max_iter + 1):
             for mode, rows in enumerate(self.shape):
-                a, b = self._equations(df, mode)
+                a, b = equations(mode)
                 solved = np.linalg.solve(a + self.reg * np.eye(len(a)), b)
                 self.factors[mode] = solved.reshape(rows, self.rank)
-            now = float(np.linalg.norm(self.weights()))
-            if size is not None and abs(now - size) <= self.tol * now:
+            now = self.weights() if prod(self.shape) <= CARRY_LIMIT else np.concatenate([f.ravel() for f in self.factors])
+            if before is not None and np.linalg.norm(now - before) <= self.tol * np.linalg.norm(now):
                 break
-            size = now
+            before = now
+
+    def fit(self, df: DataFrame) -> KruskalRegressor:
+        rng = np.random.default_rng(self.seed)
+        drawn = lambda: [rng.random((s, self.rank)) for s in self.shape]
+        if prod(self.shape) > SOLVE_LIMIT:
+            self.factors = drawn()
+            self._descend(lambda mode: self._equations(df, mode))
+            return self
+        second, first, size = self._moments(df)
+
+        def equations(mode: int) -> tuple[np.ndarray, np.ndarray]:
+            p = self._spread(mode)
+            return p.T @ second @ p, p.T @ first
+
+        best = None
+        for _ in range(self.starts):
+            self.factors = drawn()
+            self._descend(equations)
+            w = self.weights().ravel()
+            gap = size - 2 * w @ first + w @ second @ w + self.reg * sum(float(np.sum(f * f)) for f in self.factors)
+            if best is None or gap < best[0]:
+                best = gap, self.factors, self.iterations
+        _, self.factors, self.iterations = best
         return self
 
     def weights(self) -> np.ndarray:
@@ -635,8 +802,8 @@ class KruskalRegressor:
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Add ``predicted``."""
-        w = F.expr(f"array({', '.join(_number(v) for v in self.weights().ravel())})")
-        return df.withColumn("predicted", dot(F.col("x"), w))
+        w = df.sparkSession.createDataFrame([(self.weights().ravel().tolist(),)], "w array<double>")
+        return df.withColumn("_w", w.scalar()).withColumn("predicted", dot(F.col("x"), F.col("_w"))).drop("_w")
 
 
 def dot(x: Column, w: Column) -> Column:

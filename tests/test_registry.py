@@ -14,8 +14,6 @@ import __spark_entry__ as contract
 
 TINY = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(TINY).exists(), reason="tables are not here")
-# the same operators run inside these queries' siblings; left to tools/check.py
-HEAVY = {"t11_cp_decomposition", "t13_tucker_decomposition"}
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +24,7 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - HEAVY))
+@pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query_matches_sql(spark, db, name):
     df = contract.queries()[name](spark, TINY)
     got, columns = check.table_of(df.columns, [tuple(r) for r in df.collect()])
