@@ -6,10 +6,14 @@ from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from tableloom.plans.ordered import OrderedRows
+from tableloom.plans.ordered import OrderedRows, unused
 from tableloom.plans.skew import grid_join, outer_join, row_count_up_to
 
 CHUNK = 64
@@ -195,36 +199,121 @@ def combine_by_key(
 ) -> DataFrame:
     """Three-function aggregation for what built-in aggregates cannot say.
 
-    An accumulator is a tuple of ``width`` numbers.  Every partition combines
-    its own rows first, so a key reaches the merging task as at most a few
-    accumulators per partition.  Gives ``(key, acc array<double>)``.
+    An accumulator is a tuple of ``width`` numbers.  Every partition combines its own rows
+    first, so a key reaches the merging task as at most a few accumulators per partition.
+    These are sorted by key and merged as they stream by: one Python call per partition, and
+    one accumulator held at a time.  Gives ``(key, acc array<double>)``.
     """
     key_type = dict(df.dtypes)[key]
+    schema = f"key {key_type}, acc array<double>"
+    arrow = to_arrow_schema(df.select(F.col(key).alias("key"), F.array(F.lit(0.0)).alias("acc")).schema)
 
-    def emit(accs: dict) -> pd.DataFrame:
-        return pd.DataFrame({"key": list(accs), "acc": [[float(x) for x in a] for a in accs.values()]})
+    def emit(keys: list, accs: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys, arrow.field("key").type), pa.array([[float(x) for x in a[:width]] for a in accs], arrow.field("acc").type)], schema=arrow
+        )
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         accs: dict = {}
         for batch in batches:
-            for k, v in zip(batch["key"].tolist(), batch["value"].tolist()):
+            for k, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                k = hashable(k)
                 accs[k] = merge_value(accs[k], v) if k in accs else create(v)
             if len(accs) > flush:
-                yield emit(accs)
+                yield emit([plain(k) for k in accs], list(accs.values()))
                 accs = {}
         if accs:
-            yield emit(accs)
+            yield emit([plain(k) for k in accs], list(accs.values()))
 
-    def final(group: pd.DataFrame) -> pd.DataFrame:
-        total = reduce(merge, [tuple(a) for a in group["acc"]])
-        return pd.DataFrame({"key": [group["key"].iloc[0]], "acc": [[float(x) for x in total[:width]]]})
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = None, None
+        for batch in batches:
+            keys, accs = [], []
+            for k, acc in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                acc = tuple(acc)
+                if total is not None and hashable(k) == held:
+                    total = merge(total, acc)
+                    continue
+                if total is not None:
+                    keys.append(plain(held))
+                    accs.append(total)
+                held, total = hashable(k), acc
+            if keys:
+                yield emit(keys, accs)
+        if total is not None:
+            yield emit([plain(held)], [total])
 
-    schema = f"key {key_type}, acc array<double>"
     pairs = df.select(F.col(key).alias("key"), F.col(value).alias("value"))
-    combined = pairs.mapInPandas(partial, schema).groupBy("key").applyInPandas(final, schema)
+    combined = pairs.mapInArrow(partial, schema).repartition("key").sortWithinPartitions("key").mapInArrow(merged, schema)
     return combined.withColumnRenamed("key", key)
 
 
+_NAN = "not a number"
+
+
+def hashable(key):
+    """A key that equals itself: NaN, lists and structs of a row as plain values."""
+    if isinstance(key, float) and key != key:
+        return (_NAN,)
+    if isinstance(key, list):
+        return ("list", *map(hashable, key))
+    if isinstance(key, dict):
+        return ("struct", *((n, hashable(v)) for n, v in key.items()))
+    return key
+
+
+def plain(key):
+    """The key that :func:`hashable` was given."""
+    if not isinstance(key, tuple):
+        return key
+    if key[0] == _NAN:
+        return float("nan")
+    if key[0] == "list":
+        return [plain(k) for k in key[1:]]
+    return {n: plain(v) for n, v in key[1:]}
+
+
+def sort_by_key(df: DataFrame, key: Column, partitions: int) -> DataFrame:
+    """``df`` laid out in exactly ``partitions`` partitions by ranges of a derived key, sorted inside each.
+
+    The borders come from a sample of the key, so partitions are about equally large; rows of equal
+    keys lie together, and a partition may be empty when there are fewer keys than partitions.
+    """
+    (name,) = unused(df, "sort_key")
+    keyed = df.withColumn(name, key)
+    return keyed.repartitionByRange(partitions, name).sortWithinPartitions(name).drop(name)
+
+
+def layout_of(df: DataFrame, key: Column) -> DataFrame:
+    """One row: ``partitions`` with rows, and whether keys ascend ``inside`` each and ``across`` all of them.
+
+    ``df`` is read once, in its own layout.
+    """
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, last, sorted_, n = None, None, True, 0
+        for batch in batches:
+            keys = batch.column(0).to_pylist()
+            if not keys:
+                continue
+            first = keys[0] if n == 0 else first
+            whole = keys if n == 0 else [last, *keys]
+            sorted_ = sorted_ and all(a <= b for a, b in zip(whole, whole[1:]))
+            last, n = keys[-1], n + len(keys)
+        if n:
+            yield pa.RecordBatch.from_pylist([{"part": TaskContext.get().partitionId(), "first": first, "last": last, "inside": sorted_, "n": n}], schema)
+
+    kind = df.select(key.alias("k")).schema["k"].dataType
+    types = f"part int, first {kind.simpleString()}, last {kind.simpleString()}, inside boolean, n bigint"
+    schema = to_arrow_schema(StructType.fromDDL(types))
+    parts = df.select(key.alias("k")).mapInArrow(seen, types)
+    # one row per partition
+    before = F.lag("last").over(Window.orderBy("part"))
+    follows = F.coalesce(before <= F.col("first"), F.lit(True))
+    return parts.select("*", follows.alias("follows")).agg(
+        F.count("*").cast("int").alias("partitions"), F.min("inside").alias("inside"), F.min("follows").alias("across"), F.sum("n").alias("n")
+    )
+
+
 def word_count(df: DataFrame, text: str) -> DataFrame:
     return count_by_value(df.select(F.explode(F.split(text, " ")).alias("word")), "word")
 

@@ -22,6 +22,17 @@ _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row position in its lo
 _LOCAL_MASK = (1 << _LOCAL_BITS) - 1
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until the table has no column of that name."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def _same(keys: Sequence[str], left: str, right: str) -> Column:
     cond = F.lit(True)
     for key in keys:

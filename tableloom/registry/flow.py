@@ -548,6 +548,14 @@ def k4(t):
     return numbered(t.orders.select("o_orderkey"), (), [F.col("o_orderkey").cast("string")], "place")
 
 
+@query("k4_sort_into_partitions", """
+SELECT 7::INTEGER AS partitions, true AS inside, true AS across, count(*) AS n FROM orders""")
+def k4_partitions(t):
+    """Orders by their number as text, in exactly seven sorted ranges."""
+    key = F.col("o_orderkey").cast("string")
+    return keyed.layout_of(keyed.sort_by_key(t.orders.select("o_orderkey", "o_totalprice"), key, 7), key)
+
+
 @query("k5_frequency_order", """
 SELECT props, cnt, row_number() OVER (ORDER BY cnt, props) AS place FROM
 (SELECT props, count(*) AS cnt FROM events GROUP BY props)""")

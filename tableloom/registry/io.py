@@ -48,6 +48,17 @@ def s3(t):
     return readers.text_lines(t.spark, path, min_partitions=6)
 
 
+@query("s3_minimum_partitions", "SELECT count(*) AS n, 4::BIGINT AS files, true AS enough, true AS read_in_place FROM part")
+def s3_minimum(t):
+    """Lines of a folder of four files in at least eleven splits, cut where they are read."""
+    path = written(t, "text", writers.text_lines, part_lines(t).repartition(4), "value")
+    lines = readers.text_lines(t.spark, path, min_partitions=11)
+    files = readers.whole_files(t.spark, path).where(F.col("file").contains("part-")).select(F.count("*").alias("files"))
+    in_place = "Exchange" not in lines._jdf.queryExecution().executedPlan().toString()
+    counted = readers.file_splits(lines)
+    return counted.select("n", files.scalar().alias("files"), (F.col("splits") >= 11).alias("enough"), F.lit(in_place).alias("read_in_place"))
+
+
 @query("s4_text_sink_refuses_existing", "SELECT count(*) AS n, true AS refused FROM part")
 def s4(t):
     path = written(t, "text", writers.text_lines, part_lines(t), "value")

@@ -13,12 +13,20 @@ from tableloom.functions.scalars import FLOWER_CLASSES, encode_names
 def text_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """``value``: one row per line of a file or of all files of a folder.
 
-    A scan of fewer than ``min_partitions`` splits is spread over that many.
+    With ``min_partitions`` files are cut into at least that many splits where they are read, by
+    their bytes; nothing is shuffled.
     """
-    lines = spark.read.text(path)
-    if min_partitions is not None and lines.rdd.getNumPartitions() < min_partitions:
-        return lines.repartition(min_partitions)
-    return lines
+    if min_partitions is None:
+        return spark.read.text(path)
+    jvm = spark.sparkContext._jvm
+    lines = spark.sparkContext._jsc.sc().textFile(path, min_partitions)
+    return DataFrame(spark._jsparkSession.createDataset(lines, jvm.org.apache.spark.sql.Encoders.STRING()).toDF(), spark)
+
+
+def file_splits(lines: DataFrame) -> DataFrame:
+    """One row: ``splits`` of a scan and the rows in them."""
+    parts = lines.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"))
+    return parts.agg(F.count("*").alias("splits"), F.sum("n").alias("n"))
 
 
 def whole_files(spark: SparkSession, path: str) -> DataFrame:

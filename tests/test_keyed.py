@@ -1,9 +1,11 @@
 """Worked examples of the keyed operators."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from tableloom.operators import keyed
+from tableloom.operators import keyed, series
 
 
 def pairs(spark, rows, schema="k string, v bigint"):
@@ -140,3 +142,54 @@ def test_pipe_and_packed(spark):
 def test_observed_counts_on_the_way(spark):
     lines = spark.createDataFrame([("",), ("a",), ("",)], "line string")
     assert keyed.observed(lines, blank=F.count(F.when(F.col("line") == "", 1)), n=F.count("*")) == {"blank": 2, "n": 3}
+
+
+def test_combined_keys_of_any_kind(spark):
+    nan = float("nan")
+    total = lambda df, **k: {
+        str(r["k"]): tuple(r["acc"]) for r in keyed.combine_by_key(
+            df, "k", "v", lambda v: (v, 1), lambda a, v: (a[0] + v, a[1] + 1), lambda a, b: (a[0] + b[0], a[1] + b[1]), 2, **k
+        ).collect()
+    }
+    rows = [(k, float(i)) for i in range(60) for k in ("a", None, "", "b")]
+    texts = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    assert total(texts) == total(texts, flush=1) == {k: (1770.0, 60.0) for k in ("a", "None", "", "b")}
+    floats = spark.createDataFrame([(k, 1.0) for k in (nan, nan, 0.0, None, 2.5)], "k double, v double").repartition(3)
+    assert total(floats) == {"nan": (2.0, 2.0), "0.0": (1.0, 1.0), "None": (1.0, 1.0), "2.5": (1.0, 1.0)}
+    pairs = spark.createDataFrame([((1, "x"), 1.0), ((1, "x"), 2.0), ((2, None), 4.0)], "k struct<a:bigint,b:string>, v double").repartition(3)
+    assert sorted(total(pairs).values()) == [(3.0, 2.0), (4.0, 1.0)]
+    assert total(texts.where("false")) == {}
+
+
+def test_sort_into_partitions(spark):
+    df = spark.range(500).select((F.col("id") * 7919 % 500).alias("id"), F.lit(1).alias("sort_key")).repartition(3)
+    key = F.col("id").cast("string")
+    laid = keyed.sort_by_key(df, key, 6)
+    assert laid.columns == df.columns and laid.rdd.getNumPartitions() == 6
+    assert keyed.layout_of(laid, key).first().asDict() == {"partitions": 6, "inside": True, "across": True, "n": 500}
+    mixed = keyed.layout_of(laid, F.col("id")).first()
+    assert not mixed["inside"] and keyed.layout_of(df.where("false"), key).first()["partitions"] == 0
+
+
+def test_prefix_of_maps(spark, monkeypatch):
+    monkeypatch.setattr(series, "GROUP", 5)
+    rng = random.Random(3)
+    maps = [(i, rng.choice([0.0, 0.5, 0.9]), rng.random()) for i in range(33)]
+    value, want = 0.0, {}
+    for at, a, b in maps:
+        want[at], value = value, a * value + b
+    got = {r.at: r.v for r in series.entering(spark.createDataFrame(maps, "at int, a double, b double")).collect()}
+    assert got == pytest.approx(want)
+
+
+def test_smoothing_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(series, "BLOCK_BITS", 2)
+    monkeypatch.setattr(series, "GROUP", 4)
+    rng = random.Random(4)
+    rows = [(k, i, rng.random()) for k, n in (("a", 70), (None, 9), ("c", 1), ("d", 25)) for i in range(n)]
+    got = series.moving_value(spark.createDataFrame(rows, "k string, i int, x double").repartition(3), ["k"], ["i"], "x", 0.3)
+    want, held = {}, {}
+    for k, i, x in rows:
+        held[k] = x if i == 0 else 0.7 * held[k] + 0.3 * x
+        want[(k, i)] = held[k]
+    assert {(r.k, r.i): r.moving for r in got.collect()} == pytest.approx(want)
