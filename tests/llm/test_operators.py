@@ -157,7 +157,7 @@ def test_hilbert_neighbours(spark):
     is_query = hilbert.F.col("vec_id") % 5 == 0
     # windows over all rows give the exact answer
     got = collections.defaultdict(list)
-    for r in hilbert.nearest(df, is_query, 10, curves=2, share=2.0).orderBy("query_id", "rank").collect():
+    for r in hilbert.nearest(df, is_query, 10, curves=2, share=2.0, votes=1).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.vec_id, r.score))
     assert set(got) == {i for i in x if i % 5 == 0}
     for i, found in got.items():
@@ -166,17 +166,43 @@ def test_hilbert_neighbours(spark):
     assert hilbert.nearest(df.limit(0), is_query, 10).count() == 0
 
 
-def test_hilbert_recall(spark):
-    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+@pytest.mark.parametrize("scale", ["0.01", "0.1"])
+def test_hilbert_recall(spark, monkeypatch, tmp_path, scale):
+    table = spark.read.parquet(f"/root/testdata/sf{scale}/embeddings.parquet")
     data = table.toPandas()
     x, ids = np.stack(data.embedding).astype(float), data.vec_id.to_numpy()
-    got = hilbert.nearest(table, hilbert.F.col("vec_id") % 100 == 0, 10).toPandas().groupby("query_id").vec_id.agg(set)
+    is_query = hilbert.F.col("vec_id") % 100 == 0
+    got = hilbert.nearest(table, is_query, 10).toPandas().groupby("query_id").vec_id.agg(set)
     hits = []
     for i in np.flatnonzero(ids % 100 == 0):
         far = ((x - x[i]) ** 2).sum(axis=1)
         far[i] = np.inf
         hits.append(len(set(ids[np.argsort(far)[:10]]) & got[ids[i]]) / 10)
-    assert np.mean(hits) >= 0.9
+    assert np.mean(hits) >= 0.92
+    # a row is compared with a query once, and not all rows are
+    rows = hilbert.ranked(hilbert.valid_vectors(table), 64, hilbert.CURVES).toPandas()
+    ranks = np.stack(rows.ranks)
+    reach = int(np.ceil(hilbert.SHARE * len(ids) / 2))
+    compared = [hilbert.candidates(ranks, own, reach, hilbert.VOTES, 10).sum() for own in ranks[rows.vec_id % 100 == 0]]
+    assert np.mean(compared) < 0.75 * len(ids)
+
+
+def test_hilbert_blocks_far_away_are_not_met(spark, monkeypatch):
+    # clusters: few blocks can be reached, and the answer stays exact inside a cluster
+    monkeypatch.setattr(hilbert, "BLOCK", 50)
+    monkeypatch.setattr(hilbert, "CHUNK", 1)
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=(20, 8)) * 50
+    x = np.repeat(centre, 50, axis=0) + rng.normal(size=(1000, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    met = []
+    whole = hilbert.materialize
+    monkeypatch.setattr(hilbert, "materialize", lambda d: met.append(d.count()) or whole(d) if d.columns == ["block", "chunk"] else whole(d))
+    got = collections.defaultdict(list)
+    for r in hilbert.nearest(df, hilbert.F.col("vec_id") % 25 == 0, 5, share=0.03).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    hits = [len(set(got[i]) & set(np.argsort(((x - x[i]) ** 2).sum(axis=1))[1:6].tolist())) / 5 for i in range(0, 1000, 25)]
+    assert np.mean(hits) > 0.9 and met[0] < 0.5 * 20 * 40, (np.mean(hits), met)
 
 
 # --- quality

@@ -65,12 +65,14 @@ def test_op9(spark, tmp_path):
     mean = x.mean(axis=0)
     spread = float(np.sqrt(np.mean((x - mean) ** 2)))
     reach = max(10, int(np.ceil(hilbert.SHARE * n / 2)))
-    near = collections.defaultdict(set)
+    place = np.empty((hilbert.CURVES, n), dtype=int)
     for curve in range(hilbert.CURVES):
-        order = np.lexsort((ids, hilbert.curve_key(x, curve, mean, spread)))
-        for at, k in enumerate(order):
-            if ids[k] % 100 == 0:
-                near[k] |= set(order[max(0, at - reach) : at + reach + 1].tolist()) - {k}
+        place[curve, np.lexsort((ids, hilbert.curve_key(x, curve, mean, spread)))] = np.arange(n)
+    near = {}
+    for k in np.flatnonzero(ids % 100 == 0).tolist():
+        apart = np.abs(place - place[:, [k]])
+        held = ((apart <= reach).sum(axis=0) >= hilbert.VOTES) | (apart[0] <= 10)
+        near[k] = set(np.flatnonzero(held).tolist()) - {k}
     got = collections.defaultdict(list)
     for r in QUERIES["op9_hilbert_neighbours"](spark, str(tmp_path)).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.rank, r.vec_id, r.score))
