@@ -18,7 +18,6 @@ of the templates, and a row is best when it overlaps no earlier best row of anot
 Defined results: ``start`` and ``end`` are characters of the text, ``line`` counts from 0; a text
 without a match, also a null or empty one, gives one row with nulls, score 0 and ``best`` false;
 templates have two words or more; repeated rows are judged row by row; other columns are ignored.
-``scan`` compares single lines only and gives one row per document, the best line and template.
 """
 
 from __future__ import annotations
@@ -39,9 +38,11 @@ _word = re.compile(r"[^\W_]+")
 FOUND = "doc_id long, licence string, template string, line int, start int, end int, score double, best boolean"
 
 
-def bigrams(text: str) -> frozenset:
-    words = _other.sub(" ", text.lower()).split()
-    return frozenset(zip(words, words[1:])) if len(words) > 1 else frozenset((w,) for w in words)
+# fixed values: words besides those of the ids by which licences of a family differ
+NAME_WORDS = frozenset("""
+affero lesser library sharealike noderivatives noderivs noncommercial commercial attribution clause simplified
+zero dedication domain unlicense
+""".split())
 
 
 def reachable(n: int, m: int, threshold: float) -> bool:
@@ -49,41 +50,6 @@ def reachable(n: int, m: int, threshold: float) -> bool:
     return n > 0 and m > 0 and 2 * min(n, m) >= threshold * (n + m)
 
 
-def best_match(text: str, templates: list[tuple[str, frozenset]], threshold: float) -> tuple[str | None, int | None, float]:
-    """(template, line from 0, score) of the best line of the text."""
-    found: list[tuple[float, int, int]] = []
-    for at, line in enumerate(text.split("\n")):
-        own = bigrams(line)
-        for k, (_, template) in enumerate(templates):
-            if reachable(len(own), len(template), threshold):
-                score = 2 * len(own & template) / (len(own) + len(template))
-                if score >= threshold:
-                    found.append((-score, k, at))
-    if not found:
-        return None, None, 0.0
-    score, k, at = min(found)
-    return templates[k][0], at, -score
-
-
-def scan(docs: DataFrame, templates: dict[str, str], threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, licence, line, score) for every row of ``docs`` (doc_id, text)."""
-    known = [(name, bigrams(text)) for name, text in templates.items()]
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [best_match(t.as_py() or "", known, threshold) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), pa.array([o[0] for o in out], pa.string()),
-                    pa.array([o[1] for o in out], pa.int32()), pa.array([o[2] for o in out], pa.float64()),
-                ],
-                ["doc_id", "licence", "line", "score"],
-            )
-
-    given = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return given.mapInArrow(rows, "doc_id long, licence string, line int, score double")
-
-
 def licence_texts() -> list[tuple[str, str, str]]:
     """(licence, "header" or "text", text) of the files in ``licence_texts``, sorted by name."""
     folder = files("tableloom.llm") / "licence_texts"
@@ -101,6 +67,8 @@ class Templates:
             raise ValueError("a template needs two words at least")
         self.words = [len(w) for w in words]
         self.sets = [frozenset(zip(w, w[1:])) for w in words]
+        self.telling = NAME_WORDS.union(*(_word.findall(licence.lower()) for licence, _ in self.names))
+        self.marks = [self.told(w) for w in words]
         self.threshold = threshold
         self.holders: dict[tuple, list[int]] = {}
         for k, own in enumerate(self.sets):
@@ -108,6 +76,14 @@ class Templates:
                 self.holders.setdefault(g, []).append(k)
         self.every = frozenset(self.holders)
 
+    def told(self, words: list[str]) -> Counter:
+        """How often each telling word comes."""
+        return Counter(w for w in words if w in self.telling or (len(w) < 3 and w.isdigit()))
+
+    def names_it(self, k: int, words: list[str]) -> bool:
+        own, there = self.marks[k], self.told(words)
+        return all(abs(own[w] - there[w]) <= max(own[w], there[w]) // 4 for w in own.keys() | there.keys())
+
     def possible(self, pairs: list[tuple[str, str]]) -> list[int]:
         """Templates of which a part of the text may reach the threshold."""
         counts = Counter(k for g in self.every.intersection(pairs) for k in self.holders[g])
@@ -151,7 +127,7 @@ class Templates:
         owner, licences, out = np.full(len(words), -1), sorted({self.names[k][0] for k in wanted}), []
         for score, _, k, start, end in sorted(found):
             mine = licences.index(self.names[k][0])
-            best = bool(((owner[start:end] == -1) | (owner[start:end] == mine)).all())
+            best = self.names_it(k, words[start:end]) and bool(((owner[start:end] == -1) | (owner[start:end] == mine)).all())
             if best:
                 owner[start:end] = mine
             first, last = int(places[start, 0]), int(places[end - 1, 1])

@@ -170,13 +170,34 @@ LICENCES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0.",
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "CC0-1.0": "Released under CC0 1.0 Universal.",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "BSD-2-Clause": "Released under the 2-Clause BSD License.",
+    "Apache-1.1": "Licensed under the Apache License, Version 1.1.",
+    "ISC": "Released under the ISC License.",
+    "EUPL-1.2": "Licensed under the European Union Public Licence, version 1.2.",
+    "Unlicense": "Released into the public domain under the Unlicense.",
 }
+# licences that a text names by two bare words, fixed values
+BARE_NAMES = {"MIT": "MIT License", "ISC": "ISC License"}
+
+
+def licence_templates() -> list[tuple[str, str, str]]:
+    """(licence, kind, text) of all notices, bare names, identifier lines, headers and full texts."""
+    notices = [(name, "notice", text) for name, text in LICENCES.items()]
+    names = [(name, "name", text) for name, text in BARE_NAMES.items()]
+    identifiers = [(name, "identifier", f"SPDX-License-Identifier: {name}") for name in LICENCES]
+    return notices + names + identifiers + licences.licence_texts()
 
 
 @query("op7_licence_scan")
 def op7(t: Tables) -> DataFrame:
-    notices = [(name, "notice", text) for name, text in LICENCES.items()]
-    return licences.find(t.documents, notices + licences.licence_texts())
+    return licences.find(t.documents, licence_templates())
 
 
 @query("op11_sentencepiece_encoding")

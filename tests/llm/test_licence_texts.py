@@ -1,12 +1,13 @@
 """Licence texts, headers and notices anywhere in a text against windows and lines compared one by one."""
 
+import collections
 import random
 import re
 
 import pytest
 
 from tableloom.llm import licences
-from tableloom.llm.queries import LICENCES, QUERIES
+from tableloom.llm.queries import LICENCES, QUERIES, licence_templates
 
 TINY = "/root/testdata/sf0.001"
 NOTICES = [(name, "notice", text) for name, text in LICENCES.items()]
@@ -25,6 +26,16 @@ def dice(x, y):
     return 2 * len(x & y) / (len(x) + len(y)) if x or y else 0.0
 
 
+def told(words, templates):
+    telling = licences.NAME_WORDS | {w for licence, _, _ in templates for w in re.findall(r"[^\W_]+", licence.lower())}
+    return collections.Counter(w for w in words if w in telling or re.fullmatch(r"\d\d?", w))
+
+
+def names_it(words, template, templates):
+    x, y = (told([w.lower() for w in ws], templates) for ws in (words, template))
+    return all(abs(x[w] - y[w]) <= max(x[w], y[w]) // 4 for w in set(x) | set(y))
+
+
 def brute(text, templates, threshold=licences.THRESHOLD):
     places = words_of(text)
     words = [text[a:b].lower() for a, b in places]
@@ -45,8 +56,9 @@ def brute(text, templates, threshold=licences.THRESHOLD):
         found += [(score, a - b, k, a, b) for score, a, b in kept]
     rows, winners = set(), []
     for score, _, k, a, b in sorted(found):
-        licence, kind, _ = templates[k]
-        best = all(b <= c or d <= a or licence == other for other, c, d in winners)
+        licence, kind, template = templates[k]
+        own = [template[c:d] for c, d in words_of(template)]
+        best = names_it(words[a:b], own, templates) and all(b <= c or d <= a or licence == other for other, c, d in winners)
         winners += [(licence, a, b)] if best else []
         start, end = places[a][0], places[b - 1][1]
         rows.add((licence, kind, text.count("\n", 0, start), start, end, -score, best))
@@ -96,7 +108,36 @@ def test_every_text_and_header_is_found(spark):
     for i, (licence, kind) in enumerate(TEXTS):
         assert {r[0] for r in got[i] if r[-1]} == {licence}
         assert (licence, kind, 1.0) in {(r[0], r[1], r[5]) for r in got[i] if r[-1]}
-    assert set(LICENCES) <= {licence for licence, kind in TEXTS if kind == "text"}
+
+
+# a notice, and the licence that it names
+NAMED = [
+    ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"), ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"), ("Licensed under CC BY-NC-SA 4.0", "CC-BY-NC-SA-4.0"),
+    ("Licensed under CC BY 4.0.", "CC-BY-4.0"), ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+    ("This work is licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1"), ("Released under the 2-Clause BSD License.", "BSD-2-Clause"),
+    ("Licensed under the Apache License, Version 1.1.", "Apache-1.1"), ("SPDX-License-Identifier: MIT", "MIT"), ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"),
+    ("SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"), ("MIT License", "MIT"), ("See the ISC License for more.", "ISC"), ("Released under the ISC License.", "ISC"),
+    ("Licensed under the European Union Public Licence, version 1.2.", "EUPL-1.2"), ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("Licensed under CC BY-SA 3.0.", None), ("SPDX-License-Identifier: Zlib", None), ("Released under the 4-Clause BSD License.", None),
+    ("Licensed under the Apache License, Version 1.0.", None), ("This work is licensed under the GNU General Public License, version 1.", None),
+]
+
+
+def test_relatives_are_told_apart(spark):
+    templates = licence_templates()
+    renamed = TEXTS["GPL-3.0", "text"].replace("GNU General Public License", "GNU Affero General Public License").replace("GNU GENERAL", "GNU AFFERO GENERAL")
+    texts = [t for t, _ in NAMED] + [f"Foo bar was here. {t} And more words follow here." for t, _ in NAMED] + [renamed, TEXTS["AGPL-3.0", "header"]]
+    got = found(spark, texts, templates)
+    for i, (text, want) in enumerate(NAMED * 2):
+        assert {r[0] for r in got[i] if r[-1]} == ({want} if want else set()), text
+    for i in (len(texts) - 2, len(texts) - 1):
+        assert "AGPL-3.0" in {r[0] for r in got[i] if r[-1]} and "GPL-3.0" not in {r[0] for r in got[i] if r[-1] and r[1] != "identifier"}
+
+
+def test_a_very_long_text(spark):
+    text = "Foo and bar were here, again and again. " * 30_000 + "Released under the MIT License. " + "x " * 200_000
+    (row, *more) = [r for r in found(spark, [text], licence_templates())[0] if r[-1]]
+    assert {row[0], *(r[0] for r in more)} == {"MIT"} and text[row[3] : row[4]].endswith("MIT License")
 
 
 def test_places_when_lower_case_is_longer(spark):
@@ -107,9 +148,9 @@ def test_places_when_lower_case_is_longer(spark):
         licences.Templates([("x", "notice", "one")], 0.6)
 
 
-def test_query_keeps_what_lines_find(spark):
-    docs = spark.read.parquet(f"{TINY}/documents.parquet")
+def test_query_finds_notices_in_lines(spark):
+    docs = spark.read.parquet(f"{TINY}/documents.parquet").collect()
     rows = [tuple(r) for r in QUERIES["op7_licence_scan"](spark, TINY).collect()]
-    by_line = {r.doc_id: r.licence for r in licences.scan(docs, LICENCES).collect()}
-    assert {r[0] for r in rows} == set(by_line) and any(by_line.values())
-    assert {(i, name) for i, name in by_line.items() if name} <= {(r[0], r[1]) for r in rows if r[-1]}
+    lines = {(d.doc_id, name) for d in docs for name, text in LICENCES.items() if text in (d.text or "").split("\n")}
+    assert {r[0] for r in rows} == {d.doc_id for d in docs} and lines
+    assert {(r[0], r[1]) for r in rows if r[-1]} == lines
