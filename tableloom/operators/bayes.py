@@ -16,7 +16,7 @@ from tableloom.functions import text as tx
 from tableloom.plans.ordered import OrderedRows
 from tableloom.plans.placement import well_spread
 from tableloom.plans.scratch import materialize
-from tableloom.plans.skew import join_small, skew_join
+from tableloom.plans.skew import join_small
 
 HALF_LOG_2PI = 0.9189385332046727
 
@@ -64,7 +64,8 @@ def count_vectors(counts: DataFrame, vocab: DataFrame, dense: bool = False) -> D
 
     The dense form never counts index 0, the sparse form does.
     """
-    vectors = skew_join(counts, vocab.select("token", "idx"), ["token"]).drop("token")
+    # one row per token on the right: broadcast while small, else hot tokens are split by the adaptive join
+    vectors = counts.join(vocab.select("token", "idx"), "token").drop("token")
     return vectors.where("idx > 0") if dense else vectors
 
 
@@ -148,7 +149,8 @@ def class_scores(
     ``counts`` holds ``(doc, token, cnt)``, ``docs`` the ids to score.
     """
     mean, sd = F.col("mean"), F.col("sd")
-    terms = skew_join(counts.select(doc, "token", "cnt"), model, ["token"]).select(
+    # one row per token and class on the right, as above
+    terms = counts.select(doc, "token", "cnt").join(model, "token").select(
         doc,
         "label",
         (log_density(F.col("cnt"), mean, sd) - log_density(F.lit(0.0), mean, sd)).alias("part"),

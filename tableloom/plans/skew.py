@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tableloom.plans.ordered import unused
+
 SMALL_ROWS = 200_000
 
 
@@ -28,78 +31,98 @@ def join_small(
     return left.join(right, list(on), how)
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: float) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows: fewer than ``1 / share`` of them."""
-    counts = df.groupBy(*on).agg(F.count("*").alias("_n"))
-    total = df.agg(F.count("*").alias("_n")).select("_n")
-    return counts.where(F.col("_n") > F.lit(share) * total.scalar()).select(*on)
+# most groups that a hot key is spread over
+MOST_SALTS = 1024
+
+
+def _common_hash(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Column:
+    """A hash of the key that is the same on both sides: values of different types are cast as a union would."""
+    types = left.select(*on).union(right.select(*on)).schema
+    return F.xxhash64(*[F.col(c).cast(types[c].dataType) for c in on])
+
+
+def heavy_hitters(df: DataFrame, key: Column, share: float) -> tuple[dict[int, int], int]:
+    """The values of ``key``, a hash, with about ``share`` of the rows or more and their counts, and all rows.
+
+    One pass over the columns of the key fills a frequent-items sketch per partition; merged, it has at most
+    ``1 / share`` such keys.  The counts are estimates, which the joins below use for balance only.
+    """
+    k = max(1, ceil(1 / share))
+    found = df.select(key.alias("h")).agg(
+        F.expr(f"approx_top_k(h, {min(k, 10_000)}, {min(8 * k, 100_000)})").alias("top"), F.count("*").alias("n")
+    ).first()
+    return {r["item"]: r["count"] for r in found["top"] or () if r["count"] >= share * found["n"]}, found["n"]
+
+
+def _salts(df: DataFrame, hot: dict[int, int], total: int, salts: int | None) -> dict[int, int]:
+    """Into how many groups the rows of each hot key go: as many as tasks of average size they would fill."""
+    if salts is not None:
+        return dict.fromkeys(hot, salts)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return {h: min(MOST_SALTS, max(2, ceil(n * tasks / total))) for h, n in hot.items()}
+
+
+def _groups(key: Column, salts: dict[int, int]) -> Column:
+    """The number of groups of a row's key, 1 unless it is hot; the few hot ones are constants of the plan."""
+    if not salts:
+        return F.lit(1).cast("bigint")
+    known = F.create_map(*[F.lit(x).cast("bigint") for pair in salts.items() for x in pair])
+    return F.when(key.isin(list(salts)), F.element_at(known, key)).otherwise(F.lit(1).cast("bigint"))
 
 
 def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    share: float = 0.01,
-    salts: int = 32,
-    hot: DataFrame | None = None,
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", share: float = 0.01, salts: int | None = None
 ) -> DataFrame:
-    """Equi-join in which hot keys of ``left`` are spread over ``salts`` groups.
+    """Equi-join in which hot keys of ``left`` are spread over several groups.
 
     Rows of a hot key get a salt from the hash of the whole row, the matching
     rows of ``right`` are repeated once per salt, all others keep salt 0.  Every
     left row still meets every match exactly once, so inner, left, semi and anti
-    joins are exact.  Only the few hot rows of ``right`` are repeated.  Finding
-    the hot keys reads ``left`` once more, so give a stored table, or pass
-    ``hot`` (distinct key rows) when they are known already.
+    joins are exact, whichever keys the sketch names.  Only the few hot rows of
+    ``right`` are repeated.  ``left`` is read twice, its keys alone the first time.
+
+    Where ``right`` has one row per key a plain join does: Spark broadcasts a small
+    side, and its adaptive join splits hot keys of the other.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("skew_join spreads the left side; use inner, left, left_semi or left_anti")
     on = list(on)
-    # fewer than 1 / share rows, so the broadcast is bounded
-    hot = hot_keys(left, on, share) if hot is None else hot
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    spread = F.when(
-        F.col("_hot"), F.pmod(F.xxhash64(*left.columns), F.lit(salts))
-    ).otherwise(F.lit(0).cast("bigint"))
-    salted_left = left.join(hot, on, "left").withColumn("_salt", spread).drop("_hot")
-    zero, last = F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")
-    copies = F.when(F.col("_hot"), F.sequence(zero, last)).otherwise(F.array(zero))
-    salted_right = (
-        right.join(hot, on, "left")
-        .withColumn("_salt", F.explode(copies))
-        .drop("_hot")
-    )
-    return salted_left.join(salted_right, on + ["_salt"], how).drop("_salt")
+    key = _common_hash(left, right, on)
+    hot, total = heavy_hitters(left, key, share)
+    if not hot:
+        return left.join(right, on, how)
+    (salt,) = unused(left.join(right.drop(*on).limit(0)), "salt")
+    groups = _groups(key, _salts(left, hot, total, salts))
+    salted_left = left.withColumn(salt, F.pmod(F.xxhash64(*left.columns), groups))
+    salted_right = right.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("bigint"), groups - 1)))
+    return salted_left.join(salted_right, on + [salt], how).drop(salt)
 
 
 def grid_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], share: float = 0.01, salts: int = 8
+    left: DataFrame, right: DataFrame, on: Sequence[str], share: float = 0.01, salts: int | None = None
 ) -> DataFrame:
     """Inner equi-join that spreads keys hot on either side, or on both.
 
     A hot key becomes a grid of groups: left rows choose a line and are repeated
     along it when the key is hot on the right, right rows the other way round.
-    Every pair of matching rows meets in exactly one cell.
+    Every pair of matching rows meets in exactly one cell.  Each side is read
+    twice, its keys alone the first time; without hot keys it is a plain join.
     """
     on = list(on)
-    flags = (
-        hot_keys(left, on, share).withColumn("_hl", F.lit(True)).withColumn("_hr", F.lit(False))
-        .unionByName(hot_keys(right, on, share).withColumn("_hl", F.lit(False)).withColumn("_hr", F.lit(True)))
-        .groupBy(*on).agg(F.max("_hl").alias("_hl"), F.max("_hr").alias("_hr"))
-    )
-    flags = F.broadcast(flags)  # fewer than 2 / share rows
-    zero, last = F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")
-
-    def place(df: DataFrame, own: str, other: str, own_salt: str, other_salt: str) -> DataFrame:
-        chosen = F.when(F.col(own), F.pmod(F.xxhash64(*df.columns), F.lit(salts))).otherwise(zero)
-        copies = F.when(F.col(other), F.sequence(zero, last)).otherwise(F.array(zero))
-        placed = df.join(flags, on, "left").withColumn(own_salt, chosen)
-        return placed.withColumn(other_salt, F.explode(copies)).drop("_hl", "_hr")
-
-    placed_left = place(left, "_hl", "_hr", "_sl", "_sr")
-    placed_right = place(right, "_hr", "_hl", "_sr", "_sl")
-    return placed_left.join(placed_right, on + ["_sl", "_sr"]).drop("_sl", "_sr")
+    key = _common_hash(left, right, on)
+    hot_left, hot_right = (_salts(df, *heavy_hitters(df, key, share), salts) for df in (left, right))
+    if not hot_left and not hot_right:
+        return left.join(right, on)
+    line, column = unused(left.join(right.drop(*on).limit(0)), "line", "column")
+
+    def place(df: DataFrame, own: dict[int, int], other: dict[int, int], own_salt: str, other_salt: str) -> DataFrame:
+        chosen = F.pmod(F.xxhash64(*df.columns), _groups(key, own))
+        along = F.explode(F.sequence(F.lit(0).cast("bigint"), _groups(key, other) - 1)) if other else F.lit(0).cast("bigint")
+        return df.withColumn(own_salt, chosen).withColumn(other_salt, along)
+
+    placed_left = place(left, hot_left, hot_right, line, column)
+    placed_right = place(right, hot_right, hot_left, column, line)
+    return placed_left.join(placed_right, on + [line, column]).drop(line, column)
 
 
 def outer_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:

@@ -9,7 +9,7 @@ from tableloom.operators import series
 from tableloom.plans import scratch
 from tableloom.plans.ordered import OrderedRows
 from tableloom.plans.placement import partition_count, well_spread
-from tableloom.plans.skew import grid_join, hot_keys, join_small, outer_join, skew_join
+from tableloom.plans.skew import grid_join, heavy_hitters, join_small, outer_join, skew_join
 
 
 @pytest.fixture(scope="module")
@@ -100,7 +100,9 @@ def got_rows(df):
 
 def test_skewed_joins(sides):
     left, right, a, b = sides
-    assert {r["k"] for r in hot_keys(a, ["k"], 0.2).collect()} == {"hot", "both"}
+    names = {r["h"]: r["k"] for r in a.select("k", F.xxhash64("k").alias("h")).collect()}
+    hot, total = heavy_hitters(a, F.xxhash64("k"), 0.2)
+    assert {names[h]: n for h, n in hot.items()} == {"hot": 60, "both": 30} and total == len(left)
     for how in ("inner", "left"):
         assert got_rows(skew_join(a, b, ["k"], how, share=0.1, salts=4)) == expected(left, right, how)
     assert got_rows(grid_join(a, b, ["k"], share=0.1, salts=3)) == expected(left, right, "inner")
@@ -111,6 +113,25 @@ def test_skewed_joins(sides):
     assert len(kept) == 91 and len(kept) + len(gone) == len(left)
 
 
+def test_salts_follow_the_rows(sides):
+    left, right, a, b = sides
+    assert got_rows(grid_join(a, b, ["k"], share=0.05)) == expected(left, right, "inner")
+    assert got_rows(skew_join(a, b, ["k"], "left", share=0.05)) == expected(left, right, "left")
+    # keys of different types hash alike
+    number = F.when(F.col("k") == "hot", 1).when(F.col("k") == "both", 2).when(F.col("k") == "warm", 3)
+    c, d = a.withColumn("k", number.cast("int")), b.withColumn("k", number.cast("bigint"))
+    want = sorted(((1 if k == "hot" else 2, x, y) for k, x, y in expected(left, right, "inner") if k in ("hot", "both")), key=repr)
+    assert got_rows(grid_join(c, d, ["k"], share=0.05)) == want == got_rows(grid_join(d.withColumnRenamed("b", "a"), c.withColumnRenamed("a", "b"), ["k"], share=0.05).select("k", F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def test_sides_are_read_twice_at_most(spark, tmp_path):
+    path = str(tmp_path / "side")
+    spark.range(1000).selectExpr("id % 7 AS k", "id AS a", "repeat('x', 20) AS wide").write.parquet(path)
+    side = spark.read.parquet(path)
+    joined = grid_join(side, side.select("k", F.col("a").alias("b")), ["k"], share=0.05)
+    assert plan_of(joined.select("k", "a", "b")).count("FileScan") <= 4
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
