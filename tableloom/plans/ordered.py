@@ -33,13 +33,6 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def _same(keys: Sequence[str], left: str, right: str) -> Column:
-    cond = F.lit(True)
-    for key in keys:
-        cond = cond & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
-    return cond
-
-
 class OrderedRows:
     """A table laid out once in a global order.
 
@@ -81,16 +74,34 @@ class OrderedRows:
         """The rows with their 1-based position inside the key."""
         if not self.keys:
             return self.rows.withColumn(name, F.col("_g") + 1).select(*self.columns, name)
-        # joined on key and partition, so a hot key meets many small groups
-        pieces = self.rows.groupBy(*self.keys, "_part").agg(F.min("_g").alias("_s"))
-        starts = pieces.withColumn("_start", F.min("_s").over(Window.partitionBy(*self.keys)))
-        joined = self.rows.alias("a").join(
-            starts.alias("b"), (F.col("a._part") == F.col("b._part")) & _same(self.keys, "a", "b")
-        )
-        return joined.select(
-            *[F.col(f"a.{c}") for c in self.columns],
-            (F.col("a._g") - F.col("b._start") + 1).alias(name),
+        local = self.rows.withColumn("_l", F.row_number().over(self._inside()).cast("bigint"))
+        return self._continued(local, name).select(*self.columns, name)
+
+    def _inside(self) -> Window:
+        """The rows of a key inside one partition, in order."""
+        return Window.partitionBy("_part", *self.keys).orderBy("_mid")
+
+    def _continued(self, local: DataFrame, name: str) -> DataFrame:
+        """``name``: the running value ``_l`` of a key inside its partition, continued over partitions.
+
+        Only the first key of a partition can have started earlier.  What it brings is the last
+        running value of the partition before, and so on back to where the key starts: one row
+        per partition, which every row meets by a broadcast.
+        """
+        key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(self.keys)], F.lit(0).alias("all"))
+        ends = local.groupBy("_part").agg(
+            F.min_by(key, "_mid").alias("_first"), F.max_by(key, "_mid").alias("_last"), F.max_by("_l", "_mid").alias("_tail")
         )
+        by = Window.orderBy("_part")
+        ends = ends.withColumn("_goes_on", F.coalesce(F.lag("_last").over(by).eqNullSafe(F.col("_first")), F.lit(False)))
+        # the last key of a partition starts in it, unless the partition holds nothing else and goes on
+        starts = F.when(~(F.col("_goes_on") & F.col("_first").eqNullSafe(F.col("_last"))), F.col("_part"))
+        ends = ends.withColumn("_run", F.last(starts, ignorenulls=True).over(by))
+        ends = ends.withColumn("_sum", F.sum("_tail").over(Window.partitionBy("_run").orderBy("_part")))
+        carry = ends.withColumn("_carry", F.lag("_sum").over(by)).where("_goes_on").select("_part", "_first", "_carry")
+        joined = local.join(F.broadcast(carry), "_part", "left")
+        brought = F.when(F.col("_first").eqNullSafe(key), F.col("_carry"))
+        return joined.withColumn(name, F.col("_l") + F.coalesce(brought, F.lit(0)))
 
     def with_previous(self, **named: str) -> DataFrame:
         """Add columns of the previous row of the same key (``new_name=column``)."""
@@ -139,25 +150,8 @@ class OrderedRows:
         value = F.col(value) if isinstance(value, str) else value
         columns = [c for c in rows.columns if c not in ("_mid", "_part", "_g")]
         rows = rows.withColumn("_x", value)
-        local = F.sum("_x").over(
-            Window.partitionBy("_part", *self.keys)
-            .orderBy("_mid")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        totals = rows.groupBy("_part", *self.keys).agg(F.sum("_x").alias("_t"))
-        # at most one row per key and partition
-        earlier = Window.partitionBy(*self.keys) if self.keys else Window.partitionBy(F.lit(0))
-        earlier = earlier.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-        carry = totals.withColumn("_c", F.coalesce(F.sum("_t").over(earlier), F.lit(0)))
-        joined = rows.withColumn("_l", local).alias("a").join(
-            carry.alias("b"), (F.col("a._part") == F.col("b._part")) & _same(self.keys, "a", "b")
-        )
-        return joined.select(
-            *[F.col(f"a.{c}") for c in columns],
-            (F.col("a._l") + F.col("b._c")).alias(name),
-            F.col("a._mid"), F.col("a._part"), F.col("a._g"),
-        )
-
+        local = rows.withColumn("_l", F.sum("_x").over(self._inside().rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        return self._continued(local, name).select(*columns, name, "_mid", "_part", "_g")
 
     def filled(self, value: str, name: str) -> DataFrame:
         """Add the latest non-NULL ``value`` of the key up to and including the row."""
