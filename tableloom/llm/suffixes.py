@@ -458,6 +458,10 @@ def cut_texts(opened: DataFrame, starts: DataFrame, length: int) -> DataFrame:
     return joined.select("key", "text", "repeated", "numbers").mapInArrow(rows, KEPT)
 
 
+# bytes of different texts for each bucket of runs and of suffixes
+BUCKET_BYTES = 32 << 20
+
+
 def with_key(docs: DataFrame) -> DataFrame:
     """``docs`` with a fingerprint ``key`` of the whole text; a null text is empty."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -473,7 +477,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int | None = None) -> D
     texts = texts.select(F.coalesce(F.col("doc_id").cast("long"), "key").alias("row"), "key", "text")
     with temporary(spark) as left, small_batches(spark):
         kinds = materialize(texts.groupBy("key").agg(F.count("*").alias("copies"), F.min("row").alias("row"), F.first(F.octet_length("text")).alias("n")))
-        buckets = 2 * partitions(spark)
+        # groups of bounded bytes, whatever the number of shuffle partitions
+        size = kinds.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
+        buckets = max(2 * partitions(spark), -(-size // BUCKET_BYTES))
         states = materialize(run_states(run_entries(texts, buckets, length, gram), buckets))
         chosen = kinds.select("key", "row").join(states.select("key"), "key", "left_semi")
         one = texts.join(chosen, ["row", "key"]).select("key", "text")
