@@ -169,9 +169,44 @@ def t9_of_tensors(t):
     return row.select(*[F.round(c, 6).alias(c) for c in row.columns])
 
 
-@query("t10_kruskal_to_tensor", f"WITH {KRUSKAL} SELECT i0, i1, i2, round(value, 9) AS value FROM k")
+# factors made of the vectors: their first components, and means over all vectors by component
+MEANS = """means AS (SELECT k, avg(value) AS v FROM (SELECT i1 * 8 + i2 AS k, value FROM x) GROUP BY 1)"""
+
+
+def vector_sql(name: str, rank: int) -> str:
+    return f"{name} AS (SELECT vec_id AS row, r, CAST(embedding[r + 1] AS DOUBLE) AS v FROM embeddings, range({rank}) q(r))"
+
+
+def mean_sql(name: str, rank: int, at: str) -> str:
+    return f"{name} AS (SELECT row, r, means.v FROM range(8) p(row), range({rank}) q(r), means WHERE means.k = {at})"
+
+
+def vector_factor(t, rank):
+    """Each vector's first components."""
+    parts = F.slice(F.col("embedding").cast("array<double>"), 1, rank)
+    return materialize(t.embeddings.select(F.col("vec_id").alias("row"), parts.alias("f")))
+
+
+def mean_table(t):
+    """(k, v): the mean of each component."""
+    long = t.embeddings.select(F.posexplode(F.col("embedding").cast("array<double>")).alias("k", "value"))
+    return materialize(long.groupBy("k").agg(F.avg("value").alias("v")))
+
+
+def mean_factor(means, rank, at):
+    """(row, f) of eight rows: the means at the places ``at(row, r)``."""
+    places = means.sparkSession.range(8).select(F.col("id").alias("row"), F.explode(F.sequence(F.lit(0), F.lit(rank - 1))).alias("r"))
+    met = places.withColumn("k", at(F.col("row"), F.col("r")).cast("int")).join(means, "k")
+    return materialize(met.groupBy("row").agg(F.transform(F.sort_array(F.collect_list(F.struct("r", "v"))), lambda e: e["v"]).alias("f")))
+
+
+@query("t10_kruskal_to_tensor", f"""
+WITH {CELLS}, {MEANS}, {vector_sql('fa', RANK)}, {mean_sql('fb', RANK, 'row * 8 + r')}, {mean_sql('fc', RANK, 'r * 8 + row')}
+SELECT fa.row AS i0, fb.row AS i1, fc.row AS i2, round(sum(fa.v * fb.v * fc.v), 9) AS value FROM fa JOIN fb USING (r) JOIN fc USING (r) GROUP BY 1, 2, 3""")
 def t10(t):
-    return rounded(tn.kruskal_to_tensor(factors(t), RANK, (n_vectors(t), H, W)))
+    means = mean_table(t)
+    parts = [vector_factor(t, RANK), mean_factor(means, RANK, lambda row, r: row * 8 + r), mean_factor(means, RANK, lambda row, r: r * 8 + row)]
+    return rounded(tn.kruskal_to_tensor(parts, RANK, (n_vectors(t), H, W)))
 
 
 COUNTED = """
@@ -208,25 +243,16 @@ def t11_of_embeddings(t):
 
 
 CORE = (2, 3, 2)
-TUCKER = ",\n".join([
-    factor_sql("ua", 0, N_VEC, 2), factor_sql("ub", 1, "8", 3), factor_sql("uc", 2, "8", 2),
-    f"""g AS (SELECT a, b, c, {unit("'cell'", 'a', 'b', 'c')} AS v FROM range(2) p(a), range(3) q(b), range(2) s(c))""",
-    """k AS (SELECT ua.row AS i0, ub.row AS i1, uc.row AS i2, sum(g.v * ua.v * ub.v * uc.v) AS value
-  FROM g JOIN ua ON ua.r = a JOIN ub ON ub.r = b JOIN uc ON uc.r = c GROUP BY 1, 2, 3)""",
-])
-
-
-def tucker_form(t, last=W):
-    sizes = (n_vectors(t), H, last)
-    parts = [materialize(tn.random_factor(t.spark, s, r, SEED, n)) for n, (s, r) in enumerate(zip(sizes, CORE))]
-    core = tn.Tensor(tn.random_cells(tn.dense_cells(t.spark, CORE), ["i0", "i1", "i2"], SEED), CORE)
-    return core, parts, sizes
-
-
-@query("t12_tucker_to_tensor", f"WITH {TUCKER} SELECT i0, i1, i2, round(value, 9) AS value FROM k")
+@query("t12_tucker_to_tensor", f"""
+WITH {CELLS}, {MEANS}, {vector_sql('ua', 2)}, {mean_sql('ub', 3, 'row * 8 + r')}, {mean_sql('uc', 2, 'r * 8 + row')},
+g AS (SELECT k // 6 AS a, k // 2 % 3 AS b, k % 2 AS c, v FROM means WHERE k < 12)
+SELECT ua.row AS i0, ub.row AS i1, uc.row AS i2, round(sum(g.v * ua.v * ub.v * uc.v), 9) AS value
+FROM g JOIN ua ON ua.r = a JOIN ub ON ub.r = b JOIN uc ON uc.r = c GROUP BY 1, 2, 3""")
 def t12(t):
-    core, parts, sizes = tucker_form(t)
-    return rounded(tn.tucker_to_tensor(core, parts, sizes))
+    means = mean_table(t)
+    parts = [vector_factor(t, 2), mean_factor(means, 3, lambda row, r: row * 8 + r), mean_factor(means, 2, lambda row, r: r * 8 + row)]
+    core = tn.from_flat(means.where("k < 12"), F.col("k"), F.col("v"), CORE)
+    return rounded(tn.tucker_to_tensor(core, parts, (n_vectors(t), H, W)))
 
 
 @query("t13_tucker_decomposition")
