@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tableloom.functions import scalars as sc
 from tableloom.functions import text as tx
 from tableloom.operators import bayes as nb
+from tableloom.plans.placement import well_spread
 from tableloom.plans.skew import join_small
 from tableloom.registry import query
 from tableloom.registry.bayes import ISOLATE, sql_text
@@ -249,10 +250,11 @@ def f23(t):
     n = F.col("p_size").cast("bigint")
     count = F.sequence(F.lit(0).cast("bigint"), n - 1)
     show = lambda a: F.array_join(a.cast("array<string>"), ",")
-    cells = F.sequence(F.lit(0).cast("bigint"), n * n - 1)  # an n by n table in row order
-    diagonal = F.filter(cells, lambda x: F.floor(x / n) == x % n)
+    table = F.transform(count, lambda i: F.sequence(i * n, i * n + n - 1))  # n by n cells, row by row
+    below_one = F.filter(F.array(F.lit(0).cast("bigint")), lambda x: n < x)  # sizes without such a table
+    diagonal = F.when(n > 0, F.transform(table, lambda row, i: F.get(row, i))).when(n <= 0, below_one)
     trace = F.aggregate(sc.identity_cells(n), F.lit(0.0), lambda a, c: a + c["value"])
-    return t.part.select(
+    return well_spread(t.part.select("p_partkey", "p_size")).select(
         "p_partkey", show(F.array_repeat(F.lit(0), F.col("p_size"))).alias("zeros"),
         show(F.array_repeat(F.lit(1), F.col("p_size"))).alias("ones"), show(count).alias("counted"),
         trace.cast("bigint").alias("trace"), show(diagonal).alias("diagonal"),
