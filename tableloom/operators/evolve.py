@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tableloom.functions import text as tx
 from tableloom.functions.draws import draw, draw_below, draw_unit
 from tableloom.plans.ordered import OrderedRows, numbered
+from tableloom.plans.placement import well_spread
 from tableloom.plans.scratch import discard, materialize, temporary
 from tableloom.plans.skew import join_small
 
@@ -46,7 +47,9 @@ def random_population(ids: DataFrame, length: int, seed: int, low: int = 0, high
         F.sequence(F.lit(0), F.lit(length - 1)),
         lambda i: (F.lit(low) + draw_below(high - low + 1, seed, "gene", *_who(), i)).cast("int"),
     )
-    return ids.select("deme", "ind_id", genes.alias("genes"), F.lit(None).cast("double").alias("fitness"))
+    # ids are small and genes are heavy: a file of few splits would leave them to a few tasks
+    spread = well_spread(ids.select("deme", "ind_id"))
+    return spread.select("deme", "ind_id", genes.alias("genes"), F.lit(None).cast("double").alias("fitness"))
 
 
 def with_given(population: DataFrame, genes: Sequence[int]) -> DataFrame:

@@ -238,7 +238,8 @@ SELECT p.deme, p.ind_id, p.ones, c.closeness FROM (SELECT deme, ind_id, {ONES} A
 JOIN (SELECT deme, ind_id, {CLOSE} AS closeness FROM codes) c USING (deme, ind_id)""")
 def e5(t):
     codes = ev.random_population(ids(t), L, SEED, 1, 255).select("deme", "ind_id", F.col("genes").alias("codes"))
-    both = population(t).join(codes, ["deme", "ind_id"])
+    # a row per individual on both sides: the small file behind it must not make Spark broadcast the genes
+    both = population(t).join(codes.hint("merge"), ["deme", "ind_id"])
     return both.select(
         "deme", "ind_id", ev.ones_count(F.col("genes")).alias("ones"), ev.closeness(F.col("codes"), TARGET).alias("closeness")
     )

@@ -23,3 +23,18 @@ def test_array_creation_is_spread_and_right(spark, tmp_path):
         assert (r.zeros, r.ones, r.counted) == (show([0] * n), show([1] * n), show(range(n)))
         assert r.trace == n and r.cast_up == show(float(i) for i in range(n))
     assert [got[k].diagonal for k in (4, 5, 6, 7)] == ["", "0", "0", None]
+
+
+def test_count_and_distance_spreads_genes_and_broadcasts_none(spark, tmp_path, capsys):
+    rows = [(k, k % 3) for k in range(40)] + [(7, 1), (None, 2), (8, None)]
+    spark.createDataFrame(rows, "c_custkey bigint, c_nationkey int").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    from tableloom.operators import evolve as ev
+
+    ids = spark.read.parquet(f"{tmp_path}/customer.parquet").selectExpr("c_nationkey AS deme", "c_custkey AS ind_id")
+    assert ev.random_population(ids, 24, 64).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    df = QUERIES["e5_count_and_distance"](spark, str(tmp_path))
+    df.explain()
+    assert "Broadcast" not in capsys.readouterr().out
+    got = df.collect()
+    # a repeated individual meets each of its copies, one without a full key none
+    assert len(got) == 40 - 1 + 4 and all(-24 * 255 <= r.closeness <= 0 <= r.ones <= 24 for r in got)
