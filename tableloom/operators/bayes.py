@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tableloom.functions import text as tx
 from tableloom.plans.ordered import OrderedRows
-from tableloom.plans.placement import well_spread
+from tableloom.plans.placement import by_key, well_spread
 from tableloom.plans.scratch import materialize
 from tableloom.plans.skew import join_small
 
@@ -32,18 +32,24 @@ def _token_array(docs: DataFrame, text: str) -> Column:
 
 def token_rows(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per token: the columns of ``docs`` without the text, ``pos``, ``token``."""
+    return _split(well_spread(docs), text)
+
+
+def _split(docs: DataFrame, text: str) -> DataFrame:
     keep = [c for c in docs.columns if c != text]
-    return well_spread(docs).select(*keep, F.posexplode(_token_array(docs, text)).alias("pos", "token"))
+    return docs.select(*keep, F.posexplode(_token_array(docs, text)).alias("pos", "token"))
 
 
-def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(other columns of docs, token, cnt, first)``, aggregated on the map side first.
+def token_counts(docs: DataFrame, text: str = "text", placed: bool = False) -> DataFrame:
+    """``(other columns of docs, token, cnt, first)``.
 
     ``text`` is a text column, or a column of token arrays; ``first`` is the
-    position of the token's first occurrence in its document.
+    position of the token's first occurrence in its document.  Texts move once, to
+    the others of their document, and are counted there; ``placed`` says that they
+    lie so already.
     """
     keep = [c for c in docs.columns if c != text]
-    return token_rows(docs, text).groupBy(*keep, "token").agg(
+    return _split(docs if placed else by_key(docs, *keep), text).groupBy(*keep, "token").agg(
         F.count("*").alias("cnt"), F.min("pos").alias("first")
     )
 
@@ -218,6 +224,11 @@ class TextBayes:
         return best_class(self.scores(counts, docs, doc), doc)
 
 
+def labelled_texts(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """``(doc_id, text, label, is_train)``, the rows of a document together."""
+    return by_key(docs.select("doc_id", "text"), "doc_id").join(marked, "doc_id")
+
+
 def first_word(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row ``token``: the first token of the document with the smallest id, index 0 of the vocabulary."""
     return docs.orderBy("doc_id").limit(1).select(_token_array(docs, text)[0].alias("token"))
@@ -231,8 +242,8 @@ def holdout_text(docs: DataFrame, marked: DataFrame, dense: bool = False, use_pr
     Gives ``(doc_id, label, predicted)`` of the rows that are not marked.  The
     texts are split into tokens once.
     """
-    labelled = well_spread(docs.select("doc_id", "text")).join(marked, "doc_id")
-    counts = materialize(token_counts(labelled))
+    labelled = labelled_texts(docs, marked)
+    counts = materialize(token_counts(labelled, placed=True))
     known = docs.select("doc_id").join(marked, "doc_id")
     if dense:
         # the dense form never counts the word of index 0

@@ -30,6 +30,25 @@ def well_spread(df: DataFrame, per_core: int = 32 << 20) -> DataFrame:
     return df.repartition(cores) if size < cores * per_core else df
 
 
+def stored_bytes(df: DataFrame) -> int | None:
+    """Bytes of the tables that ``df`` is made of, as the optimizer knows them; None when it does not."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return size if size < 1 << 60 else None
+
+
+def by_key(df: DataFrame, *columns: str, per_task: int = 4 << 20) -> DataFrame:
+    """Rows of a key together, a partition for every ``per_task`` bytes of the tables read.
+
+    An aggregation on these and further columns then stays inside the partitions: no row of it is moved,
+    and the memory of a task does not grow with the input.  Decided without running anything.
+    """
+    size = stored_bytes(df)
+    if size is None:
+        return df.repartition(*columns)
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // per_task)), *columns)
+
+
 def partition_count(df: DataFrame) -> int:
     return df.rdd.getNumPartitions()
 

@@ -82,8 +82,8 @@ def marked(t):
 
 
 def train_counts(t):
-    labelled = t.documents.select("doc_id", "text").join(marked(t), "doc_id")
-    return materialize(nb.token_counts(labelled)), labelled.select("doc_id", "label", "is_train")
+    labelled = nb.labelled_texts(t.documents, marked(t))
+    return materialize(nb.token_counts(labelled, placed=True)), labelled.select("doc_id", "label", "is_train")
 
 
 def class_sizes(known):

@@ -1,10 +1,13 @@
 """What grows with the tables: work spread over the cores, memory of a task, bytes moved."""
 
+import re
 import sys
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from tableloom.operators import bayes as nb
+from tableloom.plans.placement import by_key, stored_bytes
 from tableloom.registry import QUERIES, load_all
 
 load_all()
@@ -38,3 +41,48 @@ def test_count_and_distance_spreads_genes_and_broadcasts_none(spark, tmp_path, c
     got = df.collect()
     # a repeated individual meets each of its copies, one without a full key none
     assert len(got) == 40 - 1 + 4 and all(-24 * 255 <= r.closeness <= 0 <= r.ones <= 24 for r in got)
+
+
+def _plan(df, capsys):
+    df.explain()
+    return capsys.readouterr().out
+
+
+def test_counts_of_a_document_move_only_its_text(spark, tmp_path, capsys):
+    rows = [(i % 5 if i % 7 else None, f"w{i % 4} a-b  w{i}") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    counts = nb.token_counts(docs)
+    assert _plan(counts, capsys).count("Exchange") == 1
+    want = {}
+    for doc, text in rows:
+        for pos, token in enumerate(re.sub(r"([-])", r" \1 ", text).split(" ")):
+            n, first = want.get((doc, token), (0, pos))
+            want[doc, token] = (n + 1, min(first, pos))
+    got = {(r.doc_id, r.token): (r.cnt, r["first"]) for r in counts.collect()}
+    assert got == want and counts.count() == len(want)
+
+
+def test_partitions_by_key_follow_the_bytes_read(spark, tmp_path):
+    spark.range(50_000).selectExpr("id", "md5(CAST(id AS string)) AS text").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    size = stored_bytes(df)
+    assert by_key(df, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert by_key(df, "id", per_task=size // 20).rdd.getNumPartitions() in (20, 21)
+    # a join does not multiply the size, and a table of unknown size is dealt as Spark deals it
+    assert stored_bytes(df.join(df.select("id"), "id")) == 2 * size
+    assert stored_bytes(spark.createDataFrame([(1,)], "id int").rdd.toDF()) in (None, stored_bytes(spark.createDataFrame([(1,)], "id int")))
+
+
+def test_holdout_counts_where_the_texts_lie(spark, tmp_path, capsys):
+    spark.createDataFrame([(i, "a b") for i in range(20)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    marked = spark.createDataFrame([(i, i % 2, i % 3 > 0) for i in range(20)], "doc_id bigint, label int, is_train boolean")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with texts too large to broadcast
+    try:
+        plan = _plan(nb.token_counts(nb.labelled_texts(docs, marked), placed=True), capsys)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange") == 2 and not re.search(r"hashpartitioning\([^)]*token", plan)
+    assert nb.holdout_text(docs, marked).count() == sum(i % 3 == 0 for i in range(20))
