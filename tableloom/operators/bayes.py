@@ -16,7 +16,7 @@ from tableloom.functions import text as tx
 from tableloom.plans.ordered import OrderedRows
 from tableloom.plans.placement import by_key, well_spread
 from tableloom.plans.scratch import materialize
-from tableloom.plans.skew import join_small
+from tableloom.plans.skew import join_small, weighted_join
 
 HALF_LOG_2PI = 0.9189385332046727
 
@@ -70,8 +70,8 @@ def count_vectors(counts: DataFrame, vocab: DataFrame, dense: bool = False) -> D
 
     The dense form never counts index 0, the sparse form does.
     """
-    # one row per token on the right: broadcast while small, else hot tokens are split by the adaptive join
-    vectors = counts.join(vocab.select("token", "idx"), "token").drop("token")
+    words = vocab.select("token", "idx", F.col("cnt").alias("_weight"))
+    vectors = weighted_join(counts, words, "token", "_weight").drop("token")
     return vectors.where("idx > 0") if dense else vectors
 
 

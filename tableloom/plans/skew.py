@@ -35,6 +35,28 @@ def join_small(
 MOST_SALTS = 1024
 
 
+def weighted_join(left: DataFrame, right: DataFrame, on: str, weight: str, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Inner join with a table of one row per key; ``weight``, left out of the result, says how often ``left`` has the key.
+
+    The most frequent keys, at most ``max_rows`` of them, meet the rows of ``left`` by broadcast, where these
+    lie; only the rows of rarer keys are moved.  ``left`` is read twice unless all keys are among the most frequent.
+    """
+    step = F.coalesce(F.floor(F.log2(F.col(weight))), F.lit(0).cast("bigint"))
+    sizes = {r["s"]: r["n"] for r in right.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect()}
+    least, rows = None, 0
+    for s in sorted(sizes, reverse=True):
+        if rows + sizes[s] > max_rows:
+            break
+        least, rows = s, rows + sizes[s]
+    if least is None:
+        return left.join(right.drop(weight), on)
+    hot = F.broadcast(right.where(step >= least).drop(weight))
+    if least == min(sizes):
+        return left.join(hot, on)
+    rest = left.join(F.broadcast(right.where(step >= least).select(on)), on, "left_anti")
+    return left.join(hot, on).unionByName(rest.join(right.where(step < least).drop(weight), on))
+
+
 def _common_hash(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Column:
     """A hash of the key that is the same on both sides: values of different types are cast as a union would."""
     types = left.select(*on).union(right.select(*on)).schema

@@ -4,10 +4,14 @@ import re
 import sys
 from pathlib import Path
 
+import pytest
+
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from tableloom.operators import bayes as nb
 from tableloom.plans.placement import by_key, stored_bytes
+from tableloom.plans.scratch import materialize
+from tableloom.plans.skew import weighted_join
 from tableloom.registry import QUERIES, load_all
 
 load_all()
@@ -74,6 +78,27 @@ def test_partitions_by_key_follow_the_bytes_read(spark, tmp_path):
     assert stored_bytes(spark.createDataFrame([(1,)], "id int").rdd.toDF()) in (None, stored_bytes(spark.createDataFrame([(1,)], "id int")))
 
 
+@pytest.mark.parametrize("most", [0, 3, 20, 10_000])
+def test_weighted_join_gives_the_rows_of_a_join(spark, most, capsys):
+    left = spark.createDataFrame([(f"t{i % (i // 9 + 1)}" if i % 11 else None, i) for i in range(200)], "token string, n int")
+    sizes = left.groupBy("token").count().where("token IS NOT NULL AND token <> 't5'")
+    right = sizes.selectExpr("token", "CAST(substr(token, 2) AS int) AS idx", "count AS w").unionByName(
+        spark.createDataFrame([("absent", 99, 0), (None, 98, 1)], "token string, idx int, w bigint")
+    )
+    got = weighted_join(left, right, "token", "w", max_rows=most)
+    assert got.columns == ["token", "n", "idx"]
+    assert sorted(got.collect()) == sorted(left.join(right.drop("w"), "token").collect())
+
+
+def test_vectors_move_no_pair_of_a_frequent_word(spark, tmp_path, capsys):
+    docs = spark.createDataFrame([(i, f"the of w{i}") for i in range(20)], "doc_id bigint, text string")
+    counts = materialize(nb.token_counts(docs))
+    vectors = nb.count_vectors(counts, nb.vocabulary(counts))
+    plan = _plan(vectors, capsys)
+    assert "SortMergeJoin" not in plan and "hashpartitioning(token" not in plan
+    assert vectors.count() == 60
+
+
 def test_holdout_counts_where_the_texts_lie(spark, tmp_path, capsys):
     spark.createDataFrame([(i, "a b") for i in range(20)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/d")
     docs = spark.read.parquet(f"{tmp_path}/d")
