@@ -244,7 +244,7 @@ tok AS (SELECT doc_id, unnest({TOKENS}) AS token FROM documents)
 SELECT doc_id, idx, count(*) AS cnt FROM tok JOIN vocab USING (token) GROUP BY 1, 2""")
 def j8(t):
     vocab = nb.vocabulary(nb.token_counts(t.benchmark), "item_id")
-    counts = materialize(nb.token_counts(t.documents.select("doc_id", "text")))
+    counts = nb.token_counts(t.documents.select("doc_id", "text"))
     return nb.count_vectors(counts, vocab).drop("first")
 
 
