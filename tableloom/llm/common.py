@@ -163,15 +163,18 @@ def components(edges: DataFrame) -> DataFrame:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = large.where("u <> v")  # repeats go with those of the result
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         following = materialize(small.unionByName(low.withColumnRenamed("m", "v")).distinct())
         discard(current)
         current = following
-        # done when all nodes point at roots, each at one
-        inner = current.join(current.select(F.col("u").alias("v")).distinct(), "v", "left_semi")
-        if inner.isEmpty() and current.groupBy("u").count().where("count > 1").isEmpty():
+        # done when all nodes point at roots, each at one: no node has two arrows, or one and is pointed at
+        ends = current.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+            current.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+        )
+        ends = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+        if not ends.agg(F.max(F.expr("out > 1 OR out = 1 AND into = 1"))).first()[0]:
             break
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
